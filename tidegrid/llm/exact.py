@@ -140,7 +140,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row
     ident = exact_identity(docs, text, doc_id, row, block_bytes).checkpoint()
     groups = ident.groupBy("n_bytes", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("top"), F.count(F.lit(1)).alias("group_size")
-    )
+    ).checkpoint()  # so that both sides of the join are dealt anew, and a large group can be split
     return ident.join(groups, ["n_bytes", "name"]).select(
         "row",
         "doc_id",

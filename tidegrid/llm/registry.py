@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import exact
+from tidegrid.llm import exact, mixing, packing, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash": simhash.op1_simhash,
+        "op2_best_fit_packing": packing.op2_best_fit_packing,
+        "op5_jump_shards": sharding.op5_jump_shards,
+        "op7_mix_sources": mixing.op7_mix_sources,
         "op8_exact_dedup": exact.op8_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_mix_sources": mixing.OP7_SQL,
         "op8_exact_dedup": exact.OP8_SQL,
     }
