@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import exact, mixing, packing, quality, sharding, simhash, substring, tokenids, transducer
+from tidegrid.llm import exact, mixing, packing, pii, quality, sharding, simhash, substring, tokenids, transducer
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_substring_dedup": substring.op3_substring_dedup,
         "op4_token_files": tokenids.op4_token_files,
         "op5_jump_shards": sharding.op5_jump_shards,
+        "op6_pii_pseudonyms": pii.op6_pii_pseudonyms,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op8_exact_dedup": exact.op8_exact_dedup,
         "op9_token_counts": transducer.op9_token_counts,
