@@ -75,7 +75,7 @@ def near_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     twos = sizes.filter("n = 2").filter(here).select("u", "v")
     members = index.join(sizes.filter("n > 2").select("key", "n"), "key").checkpoint()
     few = members.filter(F.col("n") <= bucket).groupBy("key").agg(F.collect_list("print").alias("all"))
-    few = few.select("key", "all", F.explode("all").alias("u")).select("key", "u", F.explode(F.expr("filter(all, v -> v > u)")).alias("v")).filter(here).select("u", "v")
+    few = few.select("key", "all", F.explode("all").alias("u")).select("u", F.explode(F.expr(f"filter(all, v -> v > u AND {here})")).alias("v"))
     hot = members.filter(F.col("n") > bucket).select("print").distinct()
     ball = hot.select("print", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("w"))
     ball = ball.select("print", F.expr("CASE WHEN w = 64 THEN print ELSE print ^ shiftleft(1L, w) END").alias("point"))
