@@ -40,7 +40,7 @@ def nearest_index(lat: np.ndarray, lon: np.ndarray, to_lat: np.ndarray, to_lon:
 
 def _grid_day(cells: pd.DataFrame, obs: pd.DataFrame) -> pd.DataFrame:
     if len(cells) == 0 or len(obs) == 0:
-        return pd.DataFrame({c: pd.Series(dtype=float) for c in ("time", "lat", "lon", "dist", "normdist", *_ATTRIBUTES)})
+        return pd.DataFrame({c: pd.Series(dtype=object if c == "time" else float) for c in ("time", "lat", "lon", "dist", "normdist", *_ATTRIBUTES)})
     obs = obs.sort_values(["track", "observation_number"], kind="stable")
     lat, lon = cells["lat"].to_numpy(float), cells["lon"].to_numpy(float)
     at, on = obs["lat"].to_numpy(float), obs["lon"].to_numpy(float)
@@ -62,10 +62,10 @@ def daily_grid(obs: DataFrame, grid: DataFrame, prefix: str) -> DataFrame:
     per_task = 16
     days = obs.select("time").distinct()
     bands = F.pmod(F.xxhash64("lat"), F.lit(per_task)).alias("band")
-    cells = days.crossJoin(grid.select("lat", "lon")).select("time", "lat", "lon", bands)
-    spread = obs.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(per_task - 1))).cast("long"))
+    cells = days.crossJoin(grid.select("lat", "lon")).select(F.col("time").alias("day"), "lat", "lon", bands)
+    spread = obs.withColumn("band", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(per_task - 1).cast("long"))))
     schema = "time date, lat double, lon double, dist double, normdist double, " + ", ".join(f"{a} double" for a in _ATTRIBUTES)
-    out = cells.groupBy("time", "band").cogroup(spread.groupBy("time", "band")).applyInPandas(_grid_day, schema)
+    out = cells.groupBy("day", "band").cogroup(spread.groupBy("time", "band")).applyInPandas(_grid_day, schema)
     return out.withColumnsRenamed({c: f"{prefix}_{c}" for c in ("dist", "normdist", *_ATTRIBUTES)})
 
 

@@ -116,7 +116,7 @@ def clean_steps(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     df = df.filter(F.col("time").isNotNull()).dropDuplicates(["time", *CELL])
     finite = F.lit(False)
     for v in variables:
-        finite = finite | F.coalesce(F.abs(v) < float("inf"), F.lit(False))
+        finite = finite | F.coalesce(~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False))
     good = df.filter(finite).select("time").distinct()
     return df.join(good, "time", "left_semi")
 

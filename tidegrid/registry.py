@@ -408,12 +408,13 @@ def std3x3(spark, d):
 @query(
     f"WITH {CUBE_SQL}, t AS (SELECT range * 0.25 + 0.125 AS x FROM range(36)), b AS (SELECT x, floor(x) AS lo, floor(x) + 1 AS hi, x - floor(x) AS w FROM t), "
     "g AS (SELECT date_trunc('month', time) AS m, lat, lon, avg(v1) AS v FROM cube GROUP BY 1, 2, 3) "
-    "SELECT CAST(p.m AS DATE) AS time, i.x AS lat, j.x AS lon, round((1 - i.w) * ((1 - j.w) * p.v + j.w * q.v) + i.w * ((1 - j.w) * r.v + j.w * s.v), 6) AS v FROM b i, b j, g p, g q, g r, g s "
+    "SELECT CAST(p.m AS DATE) AS time, i.x AS lat, j.x AS lon, round((1 - i.w) * ((1 - j.w) * p.v + j.w * q.v) + i.w * ((1 - j.w) * r.v + j.w * s.v), 10) AS v FROM b i, b j, g p, g q, g r, g s "
     "WHERE p.lat = i.lo AND p.lon = j.lo AND q.m = p.m AND q.lat = i.lo AND q.lon = j.hi AND r.m = p.m AND r.lat = i.hi AND r.lon = j.lo AND s.m = p.m AND s.lat = i.hi AND s.lon = j.hi AND year(p.m) = 1997"
 )
 def regrid_bilinear(spark, d):
     g = cube(spark, d).filter("year(time) = 1997").groupBy(F.to_date(F.date_trunc("month", "time")).alias("time"), "lat", "lon").agg(F.avg("v1").alias("v"))
-    return r6(grid.regrid_linear(g, ["v"], grid.centres(spark, 0, 9, 0.25, "lat"), grid.centres(spark, 0, 9, 0.25, "lon")), "v").filter("v IS NOT NULL")
+    out = grid.regrid_linear(g, ["v"], grid.centres(spark, 0, 9, 0.25, "lat"), grid.centres(spark, 0, 9, 0.25, "lon"))
+    return out.withColumn("v", F.round("v", 10)).filter("v IS NOT NULL")
 
 
 @query(
