@@ -67,7 +67,9 @@ def near_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Edges (u, v) between distinct prints whose components are those of all links at most two bits long."""
     segment = F.when(F.col("w") < 32, F.col("print").bitwiseAND(0xFFFFFFFF)).otherwise(F.shiftrightunsigned("print", 32))
     cleared = segment.bitwiseAND(F.bitwise_not(F.expr("shiftleft(1L, w % 32)")))
-    index = prints.select("print", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("w"))
+    # each print becomes 64 rows, so few prints are still dealt to many tasks (by a hash, or the plan drops this step)
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = prints.repartition(tasks, F.xxhash64("print")).select("print", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("w"))
     index = index.select("print", F.expr("shiftleft(CAST(w AS BIGINT), 32)").bitwiseOR(cleared).alias("key"))
     sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("u"), F.max("print").alias("v")).filter("n > 1").checkpoint()
     # of w = key >> 32: the bit left out is w, as segments lie in the print
