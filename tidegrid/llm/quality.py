@@ -1,8 +1,9 @@
 """Quality rules with an n-gram language model's perplexity bands.
 
 Counted rules come first: too few words, or too many words in repeated three-word windows. The rest
-is judged by a modified Kneser-Ney model of characters for each language. Its highest-order counts
-are taken over all texts, summed in the tasks and then by Spark; lower orders count distinct
+is judged by a modified Kneser-Ney model of characters for each language. Texts are dealt to two folds
+by their hash, and each is judged by the model of the other fold: a model that has counted a text's
+own gibberish would find it usual. Highest-order counts are taken over all texts, summed in the tasks and then by Spark; lower orders count distinct
 continuations; discounts follow from the counts of counts of each language and order. The model is
 kept as arrays of 64-bit hashes, sorted, beside arrays of log probabilities. A document's perplexity
 that lies beyond its language's band, on either side, rejects it: gibberish and symbols above, text
@@ -22,6 +23,7 @@ own; rows that repeat are judged alike; an empty table gives no rows. Other colu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -36,7 +38,7 @@ from tidegrid.llm.common import OWN, prepare, read, with_row_id
 ORDER = 4
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-WIDTH = 12.0
+WIDTH = 20.0
 FLOOR = 0.05
 MODEL_ROWS = 8_000_000
 _BIN = 1000
@@ -46,6 +48,8 @@ _SPACES = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>"
 _NOT_CHARS = _SPACES + bytes(range(0x80, 0xC0))
 _START = 1
+_SYMBOLS_IN_ALL = 1 << 16
+_UNIFORM = math.log(_SYMBOLS_IN_ALL)
 _DIGITS = {ord(c): "0" for c in "123456789"}
 
 
@@ -99,13 +103,16 @@ def hashed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+Part = tuple[str | None, int]
+
+
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """n-gram counts of a task's texts, by language."""
-    held: dict[str | None, list[np.ndarray]] = {}
-    sizes: dict[str | None, int] = {}
-    sums: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
+    """n-gram counts of a task's texts, by language and fold."""
+    held: dict[Part, list[np.ndarray]] = {}
+    sizes: dict[Part, int] = {}
+    sums: dict[Part, tuple[np.ndarray, np.ndarray]] = {}
 
-    def summed(lang: str | None) -> None:
+    def summed(lang: Part) -> None:
         keys = [x for x in held.pop(lang)]
         every = np.sort(np.concatenate(keys))
         first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
@@ -118,17 +125,19 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums[lang] = new, n
         sizes[lang] = 0
 
-    def out(lang: str | None) -> Iterator[pa.RecordBatch]:
+    def out(lang: Part) -> Iterator[pa.RecordBatch]:
         keys, n = sums.pop(lang)
         for i in range(0, len(keys), 1 << 20):
             part = keys[i : i + (1 << 20)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(part), pa.string()), pa.array(part.view(np.int64)), pa.array(n[i : i + (1 << 20)].astype(np.int64))], names=["lang", "gram", "n"]
+                [pa.array([lang[0]] * len(part), pa.string()), pa.array([lang[1]] * len(part), pa.int32()), pa.array(part.view(np.int64)), pa.array(n[i : i + (1 << 20)].astype(np.int64))],
+                names=["lang", "fold", "gram", "n"],
             )
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for *lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if text:
+                lang = tuple(lang)
                 held.setdefault(lang, []).append(packed(text))
                 sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1])
                 if sizes[lang] >= _CHUNK:
@@ -142,73 +151,103 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def kneser_ney(grams: DataFrame) -> DataFrame:
-    """(lang, gram, logp): interpolated modified Kneser-Ney of the last symbol after the first three.
+    """(lang, fold, order, kind, gram, value) of an interpolated modified Kneser-Ney model of each language and fold.
 
-    grams: (lang, gram, n), distinct. Only the n-grams themselves; an unseen one is not in the table.
+    grams: (lang, fold, gram, n), distinct. kind p: log probability of a gram's last symbol after those
+    before it; kind spare: log of what a context leaves to the next lower order.
     """
-    tables = {4: grams.select("lang", "gram", F.col("n").cast("double").alias("n"))}
-    for k in (3, 2, 1):
-        mask = (1 << (16 * k)) - 1
-        tables[k] = tables[k + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count(F.lit(1)).cast("double").alias("n")).checkpoint()
-    lower = None
-    for k in (1, 2, 3, 4):
+    part = ["lang", "fold"]
+    tables = {ORDER: grams.select(*part, "gram", F.col("n").cast("double").alias("n"))}
+    for k in range(ORDER - 1, 0, -1):
+        tables[k] = tables[k + 1].groupBy(*part, F.col("gram").bitwiseAND(F.lit(_mask(k))).alias("gram")).agg(F.count(F.lit(1)).cast("double").alias("n")).checkpoint()
+    lower, out = None, []
+    for k in range(1, ORDER + 1):
         t = tables[k]
-        some = t.groupBy("lang").agg(*[F.sum((F.col("n") == j).cast("double")).alias(f"n{j}") for j in (1, 2, 3, 4)])
+        some = t.groupBy(*part).agg(*[F.sum((F.col("n") == j).cast("double")).alias(f"n{j}") for j in (1, 2, 3, 4)])
         y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.0))
 
         def discount(j: int, y=y):
             d = j - (j + 1) * y * F.try_divide(F.col(f"n{j + 1}"), F.col(f"n{j}"))
             return F.greatest(F.least(F.coalesce(d, F.lit(0.5)), F.lit(j - 0.05)), F.lit(0.05))  # small corpora give none
 
-        some = some.select("lang", *[discount(j).alias(f"d{j}") for j in (1, 2, 3)])
+        some = some.select(*part, *[discount(j).alias(f"d{j}") for j in (1, 2, 3)])
         t = t.withColumn("context", F.shiftrightunsigned("gram", 16))
-        c = t.groupBy("lang", "context").agg(F.sum("n").alias("total"), *[F.sum((F.col("n") == j).cast("double")).alias(f"c{j}") for j in (1, 2)], F.sum((F.col("n") >= 3).cast("double")).alias("c3"))
-        c = _same(c, some, ["lang"]).withColumn("spare", (F.col("d1") * F.col("c1") + F.col("d2") * F.col("c2") + F.col("d3") * F.col("c3")) / F.col("total"))
-        t = _same(t, c, ["lang", "context"])
+        c = t.groupBy(*part, "context").agg(F.sum("n").alias("total"), *[F.sum((F.col("n") == j).cast("double")).alias(f"c{j}") for j in (1, 2)], F.sum((F.col("n") >= 3).cast("double")).alias("c3"))
+        c = _same(c, some, part).withColumn("spare", (F.col("d1") * F.col("c1") + F.col("d2") * F.col("c2") + F.col("d3") * F.col("c3")) / F.col("total")).checkpoint()
+        t = _same(t, c, [*part, "context"])
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         own = F.greatest(F.col("n") - off, F.lit(0.0)) / F.col("total")
         if lower is None:
-            t = t.withColumn("p", own + F.col("spare") / float(1 << 16))
+            t = t.withColumn("p", own + F.col("spare") / float(_SYMBOLS_IN_ALL))
         else:
-            t = t.withColumn("below", F.col("gram").bitwiseAND(F.lit((1 << (16 * (k - 1))) - 1)))
-            t = _same(t, lower.withColumnRenamed("gram", "below").withColumnRenamed("p", "q"), ["lang", "below"]).withColumn("p", own + F.col("spare") * F.col("q"))
-        lower = t.select("lang", "gram", "p")
-        if k < 4:
-            lower = lower.checkpoint()
-    return lower.select("lang", "gram", F.log("p").alias("logp"))
+            t = t.withColumn("below", F.col("gram").bitwiseAND(F.lit(_mask(k - 1))))
+            t = _same(t, lower.withColumnRenamed("gram", "below").withColumnRenamed("p", "q"), [*part, "below"]).withColumn("p", own + F.col("spare") * F.col("q"))
+        lower = t.select(*part, "gram", "p").checkpoint()
+        named = [F.lit(k).alias("order"), F.lit("p").alias("kind")]
+        out.append(lower.select(*part, *named, "gram", F.log("p").cast("float").alias("value")))
+        out.append(c.select(*part, F.lit(k).alias("order"), F.lit("spare").alias("kind"), F.col("context").alias("gram"), F.log("spare").cast("float").alias("value")))
+    return reduce(DataFrame.union, out)
+
+
+def _mask(k: int) -> int:
+    """The last k symbols of a gram."""
+    return (1 << (16 * k)) - 1 if k < 4 else -1
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on keys, null equal to null."""
+def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys, null equal to null."""
     for k in keys:
         right = right.withColumnRenamed(k, OWN + k)
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(OWN + k)) for k in keys])
-    return left.join(right, on).drop(*[OWN + k for k in keys])
+    return left.join(right, on, how).drop(*[OWN + k for k in keys])
 
 
-class SortedModel:
-    """Hashes in ascending order and their log probabilities, with an index by the top bits."""
+class HashTable:
+    """64-bit hashes in ascending order and a value for each, with an index by the top bits."""
 
-    def __init__(self, grams: np.ndarray, logp: np.ndarray):
+    def __init__(self, grams: np.ndarray, values: np.ndarray):
         h = hashed(grams)
         order = np.argsort(h)
-        self.hashes, self.logp = h[order], logp[order].astype(np.float32)
-        self.shift = 64 - max(4, int(len(h)).bit_length())
+        self.hashes = np.concatenate((h[order], np.full(1, (1 << 64) - 1, np.uint64)))  # so that probes end
+        self.values = np.concatenate((values[order].astype(np.float32), np.zeros(1, np.float32)))
+        self.shift = 64 - max(4, len(h).bit_length())
         self.begins = np.searchsorted(self.hashes, np.arange(1 << (64 - self.shift), dtype=np.uint64) << np.uint64(self.shift)).astype(np.int64)
+        self.size = len(h)
+
+    def look(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which grams are in the table, and their values (0 of the others)."""
+        h = hashed(grams)
+        at = self.begins[(h >> np.uint64(self.shift)).astype(np.int64)]
+        todo = np.flatnonzero(self.hashes[at] < h)
+        while len(todo):
+            at[todo] += 1
+            todo = todo[self.hashes[at[todo]] < h[todo]]
+        there = (self.hashes[at] == h) & (at < self.size)
+        return there, np.where(there, self.values[at], np.float32(0))
+
+
+class SortedModel:
+    """A language's model in one fold: tables of probabilities and spares of each order."""
+
+    def __init__(self, tables: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]):
+        self.tables = {k: HashTable(*v) for k, v in tables.items()}
 
     def total(self, grams: np.ndarray) -> float:
-        """Sum of the log probabilities of n-grams that are all in the model."""
+        """Sum of the log probabilities of n-grams; those not counted fall back order by order."""
         total = 0.0
         for i in range(0, len(grams), _CHUNK):
-            h = hashed(grams[i : i + _CHUNK])
-            at = self.begins[(h >> np.uint64(self.shift)).astype(np.int64)]
-            todo = np.flatnonzero(self.hashes[np.minimum(at, len(self.hashes) - 1)] != h)
-            while len(todo):
-                at[todo] += 1
-                if int(at[todo].max()) >= len(self.hashes):
-                    raise KeyError("an n-gram that the model has not counted")
-                todo = todo[self.hashes[at[todo]] != h[todo]]
-            total += float(self.logp[at].sum(dtype=np.float64))
+            left = grams[i : i + _CHUNK]
+            for k in range(ORDER, 0, -1):
+                if ("p", k) not in self.tables:
+                    continue
+                part = left & np.uint64(_mask(k) & ((1 << 64) - 1))
+                there, value = self.tables["p", k].look(part)
+                total += float(value.sum(dtype=np.float64))
+                left = left[~there]
+                if not len(left):
+                    break
+                total += float(self.tables["spare", k].look(part[~there] >> np.uint64(16))[1].sum(dtype=np.float64))
+            total -= len(left) * _UNIFORM
         return total
 
 
@@ -219,14 +258,15 @@ def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = _Numbers()
         models = model.value if model is not None else {}
+        nothing = SortedModel({})
         names = [x.split()[0] for x in _BASE.split(", ")]
         for batch in batches:
             out = []
-            for lang, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for lang, fold, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 text = text or b""
                 base = base_counts(text, numbers)
                 grams = packed(text) if base[0] else np.zeros(0, np.uint64)
-                logp = models[lang].total(grams) if model is not None and len(grams) else 0.0
+                logp = models.get((lang, fold), nothing).total(grams) if model is not None else 0.0
                 out.append((*base, len(grams), logp))
             columns = zip(*out, strict=True) if out else [[]] * 7
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 6 + [pa.float64()], strict=True)]], names=names)
@@ -236,14 +276,50 @@ def _scored(model):
 
 def _own_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, lang, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        for row, _, lang, fold, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if text and text.split():
                 grams, n = np.unique(packed(text), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * len(grams), pa.int64()), pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["row", "lang", "gram", "m"]
+                    [pa.array([row] * len(grams), pa.int64()), pa.array([lang] * len(grams), pa.string()), pa.array([fold] * len(grams), pa.int32()), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))],
+                    names=["row", "lang", "fold", "gram", "m"],
                 )
 
 
+def _joined(own: DataFrame, model: DataFrame) -> DataFrame:
+    """(row, sum): SortedModel.total of each row's counted grams, by joins."""
+    left, sums = own.withColumn("acc", F.lit(0.0)), []
+    for k in range(ORDER, 0, -1):
+        p = model.filter((F.col("order") == k) & (F.col("kind") == "p")).select("lang", "fold", F.col("gram").alias("part"), F.col("value").cast("double").alias("p"))
+        spare = model.filter((F.col("order") == k) & (F.col("kind") == "spare")).select("lang", "fold", F.col("gram").alias("context"), F.col("value").cast("double").alias("spare"))
+        met = _same(left.withColumn("part", F.col("gram").bitwiseAND(F.lit(_mask(k)))), p, ["lang", "fold", "part"], "left")
+        sums.append(met.filter("p IS NOT NULL").select("row", (F.col("m") * (F.col("acc") + F.col("p"))).alias("sum")))
+        missed = met.filter("p IS NULL").withColumn("context", F.shiftrightunsigned("part", 16)).drop("p", "part")
+        left = _same(missed, spare, ["lang", "fold", "context"], "left").withColumn("acc", F.col("acc") + F.coalesce("spare", F.lit(0.0))).drop("spare", "context")
+    sums.append(left.select("row", (F.col("m") * (F.col("acc") - _UNIFORM)).alias("sum")))
+    return reduce(DataFrame.union, sums).groupBy("row").agg(F.sum("sum").alias("sum"))
+
+
+def _models(model: DataFrame) -> dict[Part, SortedModel]:
+    table = model.toArrow()
+    columns = {n: table.column(n).to_numpy() for n in ("fold", "order", "gram", "value")}
+    langs, kinds = table.column("lang").to_pylist(), table.column("kind").to_pylist()
+    names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
+    number = np.fromiter((names[x] for x in langs), np.int64, len(langs))
+    is_p = np.fromiter((x == "p" for x in kinds), bool, len(kinds))
+    out = {}
+    for lang, i in names.items():
+        for fold in (0, 1):
+            here = (number == i) & (columns["fold"] == fold)
+            tables = {}
+            for k in range(1, ORDER + 1):
+                for kind, which in (("p", is_p), ("spare", ~is_p)):
+                    some = here & which & (columns["order"] == k)
+                    if some.any():
+                        tables[kind, k] = columns["gram"][some].view(np.uint64), columns["value"][some]
+            out[lang, fold] = SortedModel(tables)
+    return out
+
+
 def _medians(df: DataFrame, value: str, name: str) -> DataFrame:
     """(lang, name): the exact lower median of integers, from their counts by language."""
     counts = df.groupBy("lang", value).agg(F.count(F.lit(1)).alias("n"))
@@ -258,22 +334,18 @@ def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
     prepare(spark)
     if row is None:
         docs, row = with_row_id(docs), OWN + "row"
-    d = docs.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").cast("binary").alias("text"))
-    grams = d.select("lang", "text").mapInArrow(_measured, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).checkpoint()
-    model = kneser_ney(grams)
-    size = grams.count()
-    if size <= model_rows:
-        # model_rows rows at most, of 8 + 8 bytes: the check above bounds what driver and executors hold
-        table = model.toArrow()
-        langs = table.column("lang").to_pylist()
-        names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
-        number = np.fromiter((names[x] for x in langs), np.int64, len(langs))
-        keys, logp = table.column("gram").to_numpy().view(np.uint64), table.column("logp").to_numpy()
-        shared = spark.sparkContext.broadcast({x: SortedModel(keys[number == i], logp[number == i]) for x, i in names.items()})
+    raw = F.col(text).cast("string").cast("binary")
+    fold = F.pmod(F.xxhash64(raw), F.lit(2)).cast("int")
+    d = docs.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"), fold.alias("fold"), raw.alias("text"))
+    # what the texts of one fold have is the model of the other
+    counted = d.select("lang", (1 - F.col("fold")).alias("fold"), "text").mapInArrow(_measured, "lang string, fold int, gram long, n long")
+    model = kneser_ney(counted.groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n")).checkpoint()).checkpoint()
+    if model.count() <= model_rows:
+        # model_rows rows at most, of 8 + 4 bytes: the check above bounds what driver and executors hold
+        shared = spark.sparkContext.broadcast(_models(model))
         scored = d.mapInArrow(_scored(shared), _BASE).checkpoint()
     else:
-        own = _same(d.mapInArrow(_own_grams, "row long, lang string, gram long, m long"), model.checkpoint(), ["lang", "gram"])
-        sums = own.groupBy("row").agg(F.sum(F.col("m") * F.col("logp").cast("float").cast("double")).alias("sum"))
+        sums = _joined(d.mapInArrow(_own_grams, "row long, lang string, fold int, gram long, m long"), model)
         scored = d.mapInArrow(_scored(None), _BASE).join(sums, "row", "left").withColumn("logp", F.coalesce("sum", F.lit(0.0))).drop("sum").checkpoint()
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed).withColumn("log_perplexity", F.when(F.col("n_grams") > 0, -F.col("logp") / F.col("n_grams")))
