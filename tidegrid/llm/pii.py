@@ -249,7 +249,7 @@ KINDS: dict[str, tuple[re.Pattern[str], str, Callable[[Pseudonyms, str, bool], s
     "iban": (re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?![A-Za-z0-9])"), "", _iban),
     "ip": (re.compile(r"(?<![\d.])(\d{1,3}(?:\.\d{1,3}){3})(?!\.?\d)"), ".", _ip),
     "card": (re.compile(r"(?<!\d)(\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{1,7}|\d{4}([ -])\d{6}\3\d{4,5})(?!\d)"), "", _card),
-    "phone": (re.compile(r"(?<![\d+])(\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"), "", _phone),
+    "phone": (re.compile(r"(?<![\d+])(\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"), "", _phone),
     "ssn": (re.compile(r"(?<![\d-])(\d{3}-\d{2}-\d{4})(?![\d-])"), "-", _ssn),
     "date": (re.compile(r"(?<![\d./-])(\d{4}-\d{1,2}-\d{1,2}|\d{1,2}([/.])\d{1,2}\2\d{4}|\d{4}/\d{1,2}/\d{1,2})(?![\d/-])(?!\.\d)"), "", _date),
 }
@@ -264,10 +264,12 @@ def find(text: str, p: Pseudonyms, back: bool = False) -> list[tuple[int, int, s
     for kind, (pattern, needs, new) in KINDS.items():
         if needs and needs not in text:
             continue
+        taken = len(out)
         for m in pattern.finditer(text):
-            a, b = m.span(1)
-            if not any(x < b and a < y for x, y, _, _ in out) and (value := new(p, m[1], back)) is not None:
-                out.append((a, b, kind, value))
+            if (value := new(p, m[1], back)) is not None:
+                out.append((*m.span(1), kind, value))
+        for a, b, _, _ in out[taken:]:  # later kinds don't see it
+            text = text[:a] + "\0" * (b - a) + text[b:]
     return sorted(out)
 
 
