@@ -158,3 +158,31 @@ def extract_polygons(shapes: DataFrame, cube: DataFrame, variables: Sequence[str
     met = wanted.join(grid, ["__i", "__j", *["__day"] * len(by)])
     stats = [F.avg(v).alias(v) for v in variables] + ([F.stddev_pop(v).alias(f"{v}_std") for v in variables] if std else [])
     return merge_back(shapes, met.groupBy(key).agg(*stats), key)
+
+
+def extract_keys(points: DataFrame, cubes: dict[str, tuple[DataFrame, Sequence[str]]], folder: str, key: str = "row_id") -> tuple[DataFrame, list[str]]:
+    """Columns of several cubes for all points; returns the table and the keys that failed.
+
+    Each key's columns are staged as Parquet when done, so a second call after a failure goes on where
+    the first stopped; the stage is dropped when all are done.
+    """
+    spark = points.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    failed = []
+    for name, (cube, variables) in cubes.items():
+        if fs.exists(hadoop.Path(f"{folder}/{name}/_SUCCESS")):
+            continue
+        try:
+            extract_points(points, cube, variables, key).select(key, *variables).write.mode("overwrite").parquet(f"{folder}/{name}")
+        except Exception:  # the others go on
+            log.exception("%s failed", name)
+            failed.append(name)
+    out = points
+    for name in cubes:
+        if name not in failed:
+            out = merge_back(out, spark.read.parquet(f"{folder}/{name}"), key)
+    if not failed:
+        out = out.checkpoint()
+        fs.delete(hadoop.Path(folder), True)
+    return out, failed

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +42,41 @@ def stats_summary(df: DataFrame, variable: str, agg_by: str = "month") -> DataFr
 
 def spatial_maps(df: DataFrame, variable: str, agg_by: str = "month") -> DataFrame:
     return aggregate_by_space_time(df, [variable], agg_by)
+
+
+def lowess(x: Sequence[float], y: Sequence[float], share: float = 0.3) -> list[float]:
+    """Locally weighted linear trend of an aggregated series; each fit uses the nearest share of points."""
+    a, b = np.asarray(x, float), np.asarray(y, float)
+    n = len(a)
+    k = max(2, min(n, int(np.ceil(share * n))))
+    out = []
+    for at in a:
+        far = np.abs(a - at)
+        reach = np.sort(far)[k - 1] or 1.0
+        w = np.clip(1 - (far / reach) ** 3, 0, 1) ** 3
+        mx, my = np.average(a, weights=w), np.average(b, weights=w)
+        spread = np.sum(w * (a - mx) ** 2)
+        slope = np.sum(w * (a - mx) * (b - my)) / spread if spread > 0 else 0.0
+        out.append(float(my + slope * (at - mx)))
+    return out
+
+
+def split_by_group(df: DataFrame, group: str, order: Sequence | None = None) -> dict[object, DataFrame]:
+    """A frame for each value of a month or season column, in order."""
+    values = list(order) if order is not None else [r[0] for r in df.select(group).distinct().orderBy(group).collect()]  # a dozen at most
+    return {v: df.filter(F.col(group) == v) for v in values}
+
+
+def points(df: DataFrame, geometry: str = "points") -> DataFrame:
+    """One row for each point of an array column of (lon, lat)."""
+    return df.withColumn("p", F.explode(geometry)).withColumns({"lon": F.col("p.lon"), "lat": F.col("p.lat")}).drop("p", geometry)
+
+
+def export_map(df: DataFrame, path: str, overwrite: bool = False) -> bool:
+    """The same rows laid out by time for maps, beside a store laid out for series; False if it is there already."""
+    spark = df.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not overwrite and where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return False
+    df.repartition("time").sortWithinPartitions("time", "lat", "lon").write.mode("overwrite").parquet(path)
+    return True
