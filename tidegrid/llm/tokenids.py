@@ -43,76 +43,210 @@ MOST_BITS = 18
 STRIDE = 256
 BLOCK_DOCS = 512
 BLOCK_BYTES = 1 << 22
-_CACHE = 500_000
-
-_PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-#: The tokenizer's own split pattern, on words that _PLAIN admits.
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-#: Byte-level alphabet: a byte that isn't printable Latin-1 stands as the next free code point from 256 on.
-_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_LETTER = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
-_AS_LETTERS = {c: "".join(_LETTER[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
-
-
-class WordIds(dict):
-    """The ids of a word, as little-endian 16-bit numbers in bytes."""
+_PLAIN_BYTES = np.zeros(256, bool)
+_PLAIN_BYTES[0x21:0x7F] = True
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BLANK = re.compile(rb"[ \t\n\v\f\r]")
+#: The tokenizer's own split pattern, on words of ASCII and of Latin-1 letters; no piece holds a line feed.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+")
+_CHUNK = 1 << 19
+_SLOT_BITS = 22
+_SLOTS = 1 << _SLOT_BITS
+_MOST_WORDS = 2_300_000
+_PRIME = 0x9E3779B97F4A7C17
+
+
+class WordIds:
+    """Ids of the words of texts, from a table of words that were met before.
+
+    A chunk of text is cut to words and the words hashed in whole arrays: 64 bits of a polynomial over
+    random values for bytes, beside the length and three of the bytes themselves. The table is open addressing over arrays; words
+    that it lacks are encoded by the library, each once, and put in. A full table is emptied.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__()
         spec = json.loads(definition)
         self.whole = Tokenizer.from_str(definition)
         if self.whole.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit 16 bits")
         shape = json.dumps([spec["normalizer"], spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]])
+        specials = [t["content"] for t in spec["added_tokens"]]
         self.bulk = None
-        if shape == _KNOWN_SHAPE and spec["model"].get("end_of_word_suffix") == "</w>":
+        if shape == _KNOWN_SHAPE and spec["model"].get("end_of_word_suffix") == "</w>" and all(x.startswith("<|") for x in specials):
             self.bulk = Tokenizer(self.whole.model)
-            self.bulk.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.bulk.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
             self.last = np.zeros(1 << 16, bool)
             for token, i in spec["model"]["vocab"].items():
                 self.last[i] = token.endswith("</w>")
-        self.specials = [t["content"].encode() for t in spec["added_tokens"]]
-        self.pieces: dict[str, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) > _CACHE:
-            self.clear()
-        if len(self.pieces) > _CACHE:
-            self.pieces.clear()
-        new = [w for w in words if w not in self]
-        plain: list[tuple[bytes, list[str]]] = []
-        hard: list[bytes] = []
-        for w in new:
-            if self.bulk and _PLAIN.fullmatch(w) and not any(s in w for s in self.specials):
-                plain.append((w, _PIECES.findall(w.decode().lower())))
-            else:
-                hard.append(w)
-        if hard:
-            for w, e in zip(hard, self.whole.encode_batch_fast([w.decode("utf-8", "replace") for w in hard], add_special_tokens=False), strict=True):
-                self[w] = np.array(e.ids, "<u2").tobytes()
-        missing = list({p for _, ps in plain for p in ps if p not in self.pieces})
-        for i in range(0, len(missing), 2000):
-            part = missing[i : i + 2000]
-            ids = np.array(self.bulk.encode(" ".join(part).translate(_AS_LETTERS), add_special_tokens=False).ids, "<u2")
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
-            if len(ends) != len(part):  # pragma: no cover - a piece always ends in a word-end token
+        rng = np.random.default_rng(20)
+        self.wide = rng.integers(0, 1 << 64, 256, np.uint64)
+        self._powers(_CHUNK + 2)
+        self._empty()
+
+    def _powers(self, n: int) -> None:
+        self.powers, self.inverses = (np.full(n, x, np.uint64) for x in (_PRIME, pow(_PRIME, -1, 1 << 64)))
+        for every in (self.powers, self.inverses):
+            every[0] = 1
+            np.multiply.accumulate(every, out=every)
+
+    def _empty(self) -> None:
+        self.keys, self.checks = np.zeros(_SLOTS, np.uint64), np.zeros(_SLOTS, np.uint32)
+        self.begin, self.size = np.zeros(_SLOTS, np.int32), np.zeros(_SLOTS, np.int32)
+        self.pool, self.used, self.words = np.zeros(1 << 20, np.uint16), 0, 0
+
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Slot of each key; below 0 if it isn't there."""
+        slot = (keys >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        todo = np.arange(len(keys))
+        while len(todo):
+            at = slot[todo]
+            there = self.keys[at]
+            hit = (there == keys[todo]) & (self.checks[at] == checks[todo])
+            out[todo[hit]] = at[hit]
+            todo = todo[~hit & (there != 0)]
+            slot[todo] = (slot[todo] + 1) & (_SLOTS - 1)
+        return out
+
+    def _put(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """New distinct keys and their ids, one word's after another's."""
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint16)))
+        self.pool[self.used : self.used + len(ids)] = ids
+        begins = np.concatenate(([0], ends[:-1]))
+        slot = (keys >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        todo = np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[slot[todo]] == 0]
+            self.keys[slot[free]] = keys[free]  # of several for one slot the last stays
+            self.checks[slot[free]] = checks[free]
+            at = slot[free]
+            mine = (self.keys[at] == keys[free]) & (self.checks[at] == checks[free])
+            self.begin[at[mine]] = self.used + begins[free[mine]]
+            self.size[at[mine]] = (ends - begins)[free[mine]]
+            todo = np.setdiff1d(todo, free[mine], assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & (_SLOTS - 1)
+        self.used += len(ids)
+        self.words += len(keys)
+
+    def _encoded(self, words: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words' order, their ids, and where each one's ids end."""
+        easy = np.flatnonzero(plain) if self.bulk is not None else np.zeros(0, np.int64)
+        rest = np.flatnonzero(~plain) if self.bulk is not None else np.arange(len(words))
+        ids, ends, total = [], [], 0
+        if len(easy):
+            # in lower case, pieces parted by blanks, a line a word; the same pieces come again and again
+            text = _PIECES.sub(r"\g<0> ", b"\n".join([words[k] for k in easy.tolist()]).decode().lower()).encode()
+            _, size, got = self._chunk(text, leaves=True)
+            marks = np.frombuffer(text + b"\n", np.uint8)
+            pieces = np.cumsum(marks == 32)[marks == 10]
+            ids.append(got)
+            ends.append(np.cumsum(size)[pieces - 1])
+            total = len(got)
+        if len(rest):
+            texts = [words[k].decode("utf-8", "replace") for k in rest.tolist()]
+            got = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+            ids.append(np.array([x for g in got for x in g], np.uint16))
+            ends.append(total + np.cumsum([len(g) for g in got]))
+        return np.concatenate((easy, rest)), np.concatenate(ids), np.concatenate(ends).astype(np.int64)
+
+    def _leaves(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As _encoded, of pieces that the model takes as they are."""
+        ids, ends, total = [], [], 0
+        for i in range(0, len(pieces), 2000):
+            part = pieces[i : i + 2000]
+            got = np.array(self.bulk.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint16)
+            stops = np.flatnonzero(self.last[got]) + 1
+            if len(stops) != len(part):  # pragma: no cover - a piece always ends in a word-end token
                 raise AssertionError("pieces and word ends differ")
-            raw, begin = ids.tobytes(), 0
-            for p, end in zip(part, ends, strict=True):
-                self.pieces[p] = raw[2 * begin : 2 * end]
-                begin = end
-        for w, ps in plain:
-            self[w] = b"".join([self.pieces[p] for p in ps])
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 256):  # few texts at a time, so that learn() keeps its bound
-            split = [t.split() for t in texts[i : i + 256]]
-            self.learn(set().union(*split))
-            out += [b"".join(map(self.__getitem__, words)) for words in split]
+            ids.append(got)
+            ends.append(total + stops)
+            total += len(got)
+        return np.arange(len(pieces)), np.concatenate(ids), np.concatenate(ends)
+
+    def _chunk(self, raw: bytes, leaves: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where words begin, how many ids each has, and all the ids of a text."""
+        if len(raw) + 1 > len(self.powers):
+            self._powers(len(raw) + 2)
+        b = np.frombuffer(raw, np.uint8)
+        n = len(b)
+        space = _SPACE[b]
+        edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+        start, stop = edge[::2], edge[1::2]
+        if not len(start):
+            return start, np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.wide[b] * self.powers[:n], dtype=np.uint64)))
+        keys = (sums[stop] - sums[start]) * self.inverses[start]
+        keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        keys |= np.uint64(1)  # no key is 0, which marks a free slot
+        checks = ((stop - start) << 24 | b[start].astype(np.int64) << 16 | b[(start + stop) >> 1].astype(np.int64) << 8 | b[stop - 1]).astype(np.uint32)
+        if self.words > _MOST_WORDS and not leaves:
+            self._empty()
+        slot = self._find(keys, checks)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            order = np.lexsort((checks[new], keys[new]))
+            k, c = keys[new][order], checks[new][order]
+            first = new[order[np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))]]
+            words = [raw[x:y] for x, y in zip(start[first].tolist(), stop[first].tolist(), strict=True)]
+            if leaves:
+                order, ids, ends = self._leaves(words)
+            else:
+                order, ids, ends = self._encoded(words, self._plain(b, start[first], stop[first]))
+                # a piece may have been put in for a word of the same letters
+                fresh = self._find(keys[first][order], checks[first][order]) < 0
+                size = np.diff(ends, prepend=0)
+                order, ids, ends = order[fresh], ids[np.repeat(fresh, size)], np.cumsum(size[fresh])
+            if len(order):
+                self._put(keys[first][order], checks[first][order], ids, ends)
+            slot[new] = self._find(keys[new], checks[new])
+        size = self.size[slot].astype(np.int64)
+        total = np.cumsum(size)
+        return start, size, self.pool[np.repeat(self.begin[slot] - (total - size), size) + np.arange(total[-1])]
+
+    @staticmethod
+    def _plain(b: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Which words are of printable ASCII and letters of Latin-1, without what may be a special token."""
+        trail = np.concatenate(([False], b[:-1] == 0xC3)) & (b >= 0x80) & (b < 0xC0) & (b != 0x97) & (b != 0xB7)
+        odd = ~_PLAIN_BYTES[b] & (b != 0xC3) & ~trail
+        odd[:-1] |= ((b[:-1] == 60) & (b[1:] == 124)) | ((b[:-1] == 0xC3) & ~trail[1:])
+        count = np.concatenate(([0], np.cumsum(odd)))
+        return count[stop] == count[start]
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text. Short texts go together; a long one goes in parts that end at white space."""
+        out: list[np.ndarray] = []
+        held: list[bytes] = []
+        length = 0
+
+        def flush() -> None:
+            nonlocal held, length
+            start, size, ids = self._chunk(b" ".join(held))
+            begins = np.cumsum([0, *[len(t) + 1 for t in held]])
+            upto = np.concatenate(([0], np.cumsum(size)))[np.searchsorted(start, begins)].tolist()
+            out.extend(ids[x:y] for x, y in zip(upto, upto[1:], strict=False))
+            held, length = [], 0
+
+        for t in texts:
+            if held and length + len(t) > _CHUNK:
+                flush()
+            if len(t) > _CHUNK:
+                parts, at = [], 0
+                while at < len(t):
+                    blank = _BLANK.search(t, at + _CHUNK)
+                    end = blank.start() if blank else len(t)
+                    parts.append(self._chunk(t[at:end])[2])
+                    at = end
+                out.append(np.concatenate(parts))
+                continue
+            held.append(t)
+            length += len(t) + 1
+        if held:
+            flush()
         return out
 
 
@@ -125,31 +259,33 @@ _KNOWN_SHAPE = json.dumps(
 _loaded: dict[str, WordIds] = {}
 
 
+_STAGED = "row long, doc_id long, ids binary, counted array<int>, n array<long>"
+
+
 def _tokenized(path: str, definition: str, end: int):
+    """Each document's ids, and a last row with how often the task has seen each id."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _loaded:
             _loaded[path] = WordIds(definition)
         words, tail = _loaded[path], np.array([end], "<u2").tobytes()
+        total = np.zeros(1 << 16, np.int64)
+        names, ints, longs = [x.split()[0] for x in _STAGED.split(", ")], pa.list_(pa.int32()), pa.list_(pa.int64())
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                ids = [x + tail for x in words.ids([t or b"" for t in part.column(2).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["row", "doc_id", "ids"])
+                ids = words.ids([t or b"" for t in part.column(2).to_pylist()])
+                total += np.bincount(np.concatenate(ids), minlength=1 << 16)
+                total[end] += len(ids)
+                raw = pa.array([x.astype("<u2").tobytes() + tail for x in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), raw, pa.nulls(len(ids), ints), pa.nulls(len(ids), longs)], names=names)
+        at = np.flatnonzero(total)
+        nothing = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([at.astype(np.int32)], ints), pa.array([total[at]], longs)], names=names)
 
     return run
 
 
-def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for ids in batch.column(0).to_pylist():
-            total += np.bincount(np.frombuffer(ids, "<u2"), minlength=1 << 16) if len(ids) > 1 << 16 else 0
-        small = b"".join(x for x in batch.column(0).to_pylist() if len(x) <= 1 << 16)
-        total += np.bincount(np.frombuffer(small, "<u2"), minlength=1 << 16)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["id", "n"])
-
-
 def code_lengths(counts: dict[int, int], most: int = MOST_BITS) -> dict[int, int]:
     """Code length of each id: Huffman's, limited to `most` bits, as the package-merge algorithm gives them."""
     if len(counts) > 1 << most:
@@ -275,29 +411,56 @@ def _coded(lengths: dict[int, int], stride: int):
 _BLOCK = "part int, seq long, rows array<long>, doc_ids array<long>, n_ids array<long>, n_bits array<long>, checkpoints array<long>, payload binary, block_ids long"
 
 
+_LEAST = -(1 << 63)
+
+
+def _part(ids: DataFrame):
+    """Number of the range that (doc_id, row) falls in, of as many as there are shuffle partitions.
+
+    Bounds come from quantiles of the staged ids, which are read alone; a range partitioner would
+    encode everything once more to sample it. Where one id fills ranges, it is cut by row.
+    """
+    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ids.select(F.coalesce("doc_id", F.lit(_LEAST)).alias("i"), "row")
+    bounds = [(int(x), _LEAST) for x in key.approxQuantile("i", [k / n for k in range(1, n)], 1e-3)] if n > 1 else []
+    often = {i: bounds.count((i, _LEAST)) for i, _ in set(bounds)}
+    for i, times in often.items():
+        if times > 1:
+            cuts = key.filter(F.col("i") == i).approxQuantile("row", [k / times for k in range(1, times)], 1e-2)
+            bounds += [(i, int(x)) for x in cuts]
+    some = sorted(set(bounds))
+    if not some:
+        return F.lit(0)
+    known = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(r).cast("long").alias("r")) for i, r in some])
+    return F.size(F.filter(known, lambda b: b <= F.struct(F.coalesce("doc_id", F.lit(_LEAST)).alias("i"), F.col("row").alias("r"))))
+
+
 def _blocked(docs: int, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    """Blocks of rows that come sorted by part, doc_id and row; a block is of one part."""
 
-        part, seq = TaskContext.get().partitionId(), 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq = None, 0
         held: list[tuple] = []
         held_bytes = 0
 
         def block() -> pa.RecordBatch:
-            rows, doc_ids, n_ids, n_bits, marks, payload = zip(*held, strict=True)
+            nonlocal held, held_bytes, seq
+            rows, doc_ids, n_ids, n_bits, marks, payload, _ = zip(*held, strict=True)
             begins = np.concatenate(([0], np.cumsum([len(p) for p in payload])[:-1])) * 8
             points = np.concatenate([np.array(m, np.int64) + b for m, b in zip(marks, begins, strict=True)])
             longs = pa.list_(pa.int64())
             cells = [(part, pa.int32()), (seq, pa.int64()), (rows, longs), (doc_ids, longs), (n_ids, longs), (n_bits, longs), (points, longs), (b"".join(payload), pa.binary()), (sum(n_ids), pa.int64())]
+            held, held_bytes, seq = [], 0, seq + 1
             return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in cells], names=[x.split()[0] for x in _BLOCK.split(", ")])
 
         for batch in batches:
             for item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and (item[6] != part or len(held) >= docs or held_bytes >= size):
+                    yield block()
+                if item[6] != part:
+                    part, seq = item[6], 0
                 held.append(item)
                 held_bytes += len(item[5])
-                if len(held) >= docs or held_bytes >= size:
-                    yield block()
-                    held, held_bytes, seq = [], 0, seq + 1
         if held:
             yield block()
 
@@ -314,15 +477,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, text: str
         definition = f.read()
     d = docs.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
     staged = f"{spark.sparkContext.getCheckpointDir()}/ids-{uuid.uuid4().hex}"
-    d.mapInArrow(_tokenized(tokenizer_path, definition, end), "row long, doc_id long, ids binary").write.option("compression", "zstd").parquet(staged)
-    ids = spark.read.schema("row long, doc_id long, ids binary").parquet(staged)
-    counted = ids.select("ids").mapInArrow(_tallied, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    d.mapInArrow(_tokenized(tokenizer_path, definition, end), _STAGED).write.option("compression", "zstd").parquet(staged)
+    everything = spark.read.schema(_STAGED).parquet(staged)
+    ids = everything.filter("ids IS NOT NULL").select("row", "doc_id", "ids")
+    pairs = everything.filter("counted IS NOT NULL").select(F.explode(F.arrays_zip("counted", "n")).alias("p"))
+    counted = pairs.groupBy(F.col("p.counted").alias("id")).agg(F.sum("p.n").alias("n"))
     counts = {r["id"]: r["n"] for r in counted.collect()}  # at most 65,536 rows
     counts.setdefault(end, 1)
     lengths = code_lengths(counts)
     spark.createDataFrame([(sorted(lengths), [lengths[i] for i in sorted(lengths)], stride)], "ids array<int>, bits array<int>, stride int").coalesce(1).write.parquet(f"{path}/header")
     coded = ids.mapInArrow(_coded(lengths, stride), "row long, doc_id long, n_ids long, n_bits long, marks array<long>, payload binary")
-    coded = coded.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("row")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "row")
+    coded = coded.withColumn("part", _part(ids)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
+    coded = coded.sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "row")
     coded.mapInArrow(_blocked(BLOCK_DOCS, BLOCK_BYTES), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
     where = spark._jvm.org.apache.hadoop.fs.Path(staged)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
