@@ -15,7 +15,7 @@ from tidegrid.model import BBox, TimeResolution
 
 log = logging.getLogger(__name__)
 
-SYSTEM_KEYS = ("h2ds", "bathy", "moon")
+SYSTEM_KEYS = ("compiled", "bathy", "moon")
 
 
 @dataclass(frozen=True)
