@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.functions.physics import missing_to_null
 from tidegrid.operators.join import outer_merge
 
 _UNITS = {"days": 86400, "hours": 3600, "minutes": 60, "seconds": 1}
