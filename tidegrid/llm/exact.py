@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import OWN, prepare, read, with_row_id
+from tidegrid.llm.common import OWN, prepare, read, sliced, with_row_id
 
 BLOCK_BYTES = 4096
 
@@ -41,7 +41,7 @@ def _blocks(text: bytes, size: int) -> list[bytes]:
 
 def _narrow(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [(t or b"").lower() for t in batch.column(2).to_pylist()]  # bytes.lower: A-Z only
             yield pa.RecordBatch.from_arrays(
                 [
@@ -59,7 +59,7 @@ def _narrow(size: int):
 
 def _content(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for t in batch.column(0).to_pylist():
                 blocks = _blocks((t or b"").lower(), size)
                 for i in range(0, len(blocks), 4096):  # a very long text leaves in parts
@@ -125,7 +125,7 @@ def exact_identity(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def _content_at(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 blocks = _blocks((t or b"").lower(), size)
                 yield pa.RecordBatch.from_arrays(

@@ -33,16 +33,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.llm.common import OWN, prepare, read, with_row_id
+from tidegrid.llm.common import OWN, prepare, read, sliced, with_row_id
 
 ORDER = 4
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 WIDTH = 20.0
 FLOOR = 0.05
-MODEL_ROWS = 8_000_000
+MODEL_ROWS = 4_000_000
 _BIN = 1000
-_CHUNK = 1 << 22
+_CHUNK = 1 << 18
+#: n-grams of one language and fold that a task holds before it sums them.
+_HELD = 1 << 20
 
 _SPACES = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -70,7 +72,7 @@ def base_counts(text: bytes, numbers: _Numbers) -> tuple[int, int, int, int, int
     lines = [x for x in text.split(b"\n") if x.strip()]
     repeated = 0
     if n > 3:
-        if len(numbers) > 400_000:
+        if len(numbers) > 150_000:
             numbers.clear()
         w = np.fromiter(map(numbers.__getitem__, words), np.int64, n)
         if n > 1 << 20 or len(numbers) > 1 << 21:  # keep three numbers within 64 bits
@@ -134,15 +136,15 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["lang", "fold", "gram", "n"],
             )
 
-    for batch in batches:
+    for batch in sliced(batches):
         for *lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if text:
                 lang = tuple(lang)
                 held.setdefault(lang, []).append(packed(text))
                 sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1])
-                if sizes[lang] >= _CHUNK:
+                if sizes[lang] >= _HELD:
                     summed(lang)
-                    if len(sums[lang][0]) > _CHUNK:  # unlike any language; pass on what there is
+                    if len(sums[lang][0]) > _HELD:  # unlike any language; pass on what there is
                         yield from out(lang)
     for lang in [*held]:
         summed(lang)
@@ -260,7 +262,7 @@ def _scored(model):
         models = model.value if model is not None else {}
         nothing = SortedModel({})
         names = [x.split()[0] for x in _BASE.split(", ")]
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for lang, fold, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 text = text or b""
@@ -275,7 +277,7 @@ def _scored(model):
 
 
 def _own_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         for row, _, lang, fold, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if text and text.split():
                 grams, n = np.unique(packed(text), return_counts=True)
@@ -300,14 +302,14 @@ def _joined(own: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def _models(model: DataFrame) -> dict[Part, SortedModel]:
-    table = model.toArrow()
+    table = model.withColumn("kind", F.col("kind") == "p").toArrow()
     columns = {n: table.column(n).to_numpy() for n in ("fold", "order", "gram", "value")}
-    langs, kinds = table.column("lang").to_pylist(), table.column("kind").to_pylist()
-    names = {x: i for i, x in enumerate(dict.fromkeys(langs))}
-    number = np.fromiter((names[x] for x in langs), np.int64, len(langs))
-    is_p = np.fromiter((x == "p" for x in kinds), bool, len(kinds))
+    is_p = table.column("kind").to_numpy(zero_copy_only=False) if table.num_rows else np.zeros(0, bool)
+    langs = table.column("lang").combine_chunks().dictionary_encode()
+    number = langs.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    names = [*enumerate(langs.dictionary.to_pylist()), (-1, None)]
     out = {}
-    for lang, i in names.items():
+    for i, lang in names:
         for fold in (0, 1):
             here = (number == i) & (columns["fold"] == fold)
             tables = {}
