@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,14 +55,35 @@ _CHUNK = 1 << 19
 _SLOT_BITS = 22
 _SLOTS = 1 << _SLOT_BITS
 _MOST_WORDS = 2_300_000
-_PRIME = 0x9E3779B97F4A7C17
+_EIGHT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_keys(raw: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: of up to eight bytes a bijection, of up to 24 a mix, of more a digest."""
+    padded = raw + b"\0" * 24
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # eight bytes from every place on
+    size = stop - start
+    keys = eight[start] & _EIGHT[np.minimum(size, 8)]
+    for k in (8, 16):
+        more = np.flatnonzero(size > k)
+        keys[more] = _mixed(keys[more]) + (eight[start[more] + k] & _EIGHT[np.minimum(size[more] - k, 8)])
+    more = np.flatnonzero(size > 24)
+    if len(more):
+        keys[more] = [xxhash.xxh64_intdigest(raw[x:y]) for x, y in zip(start[more].tolist(), stop[more].tolist(), strict=True)]
+    return _mixed(keys)
 
 
 class WordIds:
     """Ids of the words of texts, from a table of words that were met before.
 
-    A chunk of text is cut to words and the words hashed in whole arrays: 64 bits of a polynomial over
-    random values for bytes, beside the length and three of the bytes themselves. The table is open addressing over arrays; words
+    A chunk of text is cut to words and the words hashed in whole arrays, to 64 bits beside the length
+    and three of the bytes themselves. The table is open addressing over arrays; words
     that it lacks are encoded by the library, each once, and put in. A full table is emptied.
     """
 
@@ -82,17 +104,8 @@ class WordIds:
             self.last = np.zeros(1 << 16, bool)
             for token, i in spec["model"]["vocab"].items():
                 self.last[i] = token.endswith("</w>")
-        rng = np.random.default_rng(20)
-        self.wide = rng.integers(0, 1 << 64, 256, np.uint64)
-        self._powers(_CHUNK + 2)
         self._empty()
 
-    def _powers(self, n: int) -> None:
-        self.powers, self.inverses = (np.full(n, x, np.uint64) for x in (_PRIME, pow(_PRIME, -1, 1 << 64)))
-        for every in (self.powers, self.inverses):
-            every[0] = 1
-            np.multiply.accumulate(every, out=every)
-
     def _empty(self) -> None:
         self.keys, self.checks = np.zeros(_SLOTS, np.uint64), np.zeros(_SLOTS, np.uint32)
         self.begin, self.size = np.zeros(_SLOTS, np.int32), np.zeros(_SLOTS, np.int32)
@@ -159,7 +172,8 @@ class WordIds:
         ids, ends, total = [], [], 0
         for i in range(0, len(pieces), 2000):
             part = pieces[i : i + 2000]
-            got = np.array(self.bulk.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint16)
+            (one,) = self.bulk.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+            got = np.array(one.ids, np.uint16)
             stops = np.flatnonzero(self.last[got]) + 1
             if len(stops) != len(part):  # pragma: no cover - a piece always ends in a word-end token
                 raise AssertionError("pieces and word ends differ")
@@ -170,18 +184,13 @@ class WordIds:
 
     def _chunk(self, raw: bytes, leaves: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where words begin, how many ids each has, and all the ids of a text."""
-        if len(raw) + 1 > len(self.powers):
-            self._powers(len(raw) + 2)
         b = np.frombuffer(raw, np.uint8)
-        n = len(b)
         space = _SPACE[b]
         edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
         start, stop = edge[::2], edge[1::2]
         if not len(start):
             return start, np.zeros(0, np.int64), np.zeros(0, np.uint16)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.wide[b] * self.powers[:n], dtype=np.uint64)))
-        keys = (sums[stop] - sums[start]) * self.inverses[start]
-        keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        keys = word_keys(raw, start, stop)
         keys |= np.uint64(1)  # no key is 0, which marks a free slot
         checks = ((stop - start) << 24 | b[start].astype(np.int64) << 16 | b[(start + stop) >> 1].astype(np.int64) << 8 | b[stop - 1]).astype(np.uint32)
         if self.words > _MOST_WORDS and not leaves:
@@ -196,7 +205,7 @@ class WordIds:
             if leaves:
                 order, ids, ends = self._leaves(words)
             else:
-                order, ids, ends = self._encoded(words, self._plain(b, start[first], stop[first]))
+                order, ids, ends = self._encoded(words, _plain(words))
                 # a piece may have been put in for a word of the same letters
                 fresh = self._find(keys[first][order], checks[first][order]) < 0
                 size = np.diff(ends, prepend=0)
@@ -208,15 +217,6 @@ class WordIds:
         total = np.cumsum(size)
         return start, size, self.pool[np.repeat(self.begin[slot] - (total - size), size) + np.arange(total[-1])]
 
-    @staticmethod
-    def _plain(b: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """Which words are of printable ASCII and letters of Latin-1, without what may be a special token."""
-        trail = np.concatenate(([False], b[:-1] == 0xC3)) & (b >= 0x80) & (b < 0xC0) & (b != 0x97) & (b != 0xB7)
-        odd = ~_PLAIN_BYTES[b] & (b != 0xC3) & ~trail
-        odd[:-1] |= ((b[:-1] == 60) & (b[1:] == 124)) | ((b[:-1] == 0xC3) & ~trail[1:])
-        count = np.concatenate(([0], np.cumsum(odd)))
-        return count[stop] == count[start]
-
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text. Short texts go together; a long one goes in parts that end at white space."""
         out: list[np.ndarray] = []
@@ -259,6 +259,16 @@ _KNOWN_SHAPE = json.dumps(
 _loaded: dict[str, WordIds] = {}
 
 
+def _plain(words: list[bytes]) -> np.ndarray:
+    """Which words are of printable ASCII and letters of Latin-1, without what may be a special token."""
+    b = np.frombuffer(b"\n".join([*words, b""]), np.uint8)
+    trail = np.concatenate(([False], b[:-1] == 0xC3)) & (b >= 0x80) & (b < 0xC0) & (b != 0x97) & (b != 0xB7)
+    odd = ~_PLAIN_BYTES[b] & (b != 0xC3) & ~trail & (b != 10)
+    odd[:-1] |= ((b[:-1] == 60) & (b[1:] == 124)) | ((b[:-1] == 0xC3) & ~trail[1:])
+    ends = np.flatnonzero(b == 10)
+    return np.diff(np.cumsum(odd)[ends], prepend=0) == 0
+
+
 _STAGED = "row long, doc_id long, ids binary, counted array<int>, n array<long>"
 
 
@@ -340,21 +350,42 @@ def canonical(lengths: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
 
 def encode(ids: np.ndarray, codes: np.ndarray, bits: np.ndarray, stride: int = STRIDE) -> tuple[bytes, int, np.ndarray]:
     """Payload, its bits, and the bit offset of every stride-th id."""
+    payload, ends, total, marks, _ = encode_many(ids, np.array([len(ids)]), codes, bits, stride)
+    return payload.tobytes(), int(total[0]), marks
+
+
+def encode_many(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, bits: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents one after another, each from a whole byte on.
+
+    Payload, where each document's bytes end, its bits, the bit offsets in it of every stride-th id,
+    and how many of these each document has.
+    """
     n = bits[ids]
     stop = np.cumsum(n)
-    start = stop - n
-    total = int(stop[-1]) if len(stop) else 0
+    last = np.cumsum(lengths)
+    upto = np.concatenate((np.zeros(1, np.int64), stop))[np.concatenate((np.zeros(1, np.int64), last))]
+    total = np.diff(upto)
+    ends = np.cumsum((total + 7) >> 3)
+    base = np.concatenate((np.zeros(1, np.int64), ends[:-1])) << 3
+    start = stop - n + np.repeat(base - upto[:-1], lengths)
     word = start >> 6
     room = 64 - (start & 63) - n  # below 0: the code runs over into the next word
     code = codes[ids]
-    first = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
-    out = np.zeros((total >> 6) + 2, np.uint64)
+    out = np.zeros(((int(ends[-1]) if len(ends) else 0) >> 3) + 2, np.uint64)
     if len(ids):
+        over = np.flatnonzero(room < 0)
+        spill = room[over]
+        room[over] = 0
+        first = code << room.astype(np.uint64)
+        first[over] = code[over] >> (-spill).astype(np.uint64)
         turn = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
         out[word[turn]] = np.add.reduceat(first, turn)  # the codes of a word have no bit in common
-        over = np.flatnonzero(room < 0)
-        out[word[over] + 1] += code[over] << (64 + room[over]).astype(np.uint64)
-    return out.astype(">u8").tobytes()[: (total + 7) // 8], total, start[::stride]
+        out[word[over] + 1] += code[over] << (64 + spill).astype(np.uint64)
+    counts = -(-lengths // stride)
+    before = np.cumsum(counts) - counts
+    at = (np.arange(int(counts.sum())) - np.repeat(before, counts)) * stride
+    marks = start[at + np.repeat(last - lengths, counts)] - np.repeat(base, counts) if len(at) else np.zeros(0, np.int64)
+    return out.astype(">u8").view(np.uint8)[: int(ends[-1]) if len(ends) else 0], ends, total, marks, counts
 
 
 class Decoder:
@@ -387,23 +418,30 @@ class Decoder:
         return result
 
 
+_CODED = "row long, doc_id long, n_ids long, n_bits long, marks array<long>, payload binary"
+
+
 def _coded(lengths: dict[int, int], stride: int):
+    def offsets(ends: np.ndarray) -> np.ndarray:
+        return np.concatenate((np.zeros(1, np.int32), ends.astype(np.int32)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, bits = canonical(lengths)
-        marks_type = pa.list_(pa.int64())
+        names = [x.split()[0] for x in _CODED.split(", ")]
         for batch in batches:
-            n_ids, n_bits, marks, payload = [], [], [], []
-            for raw in batch.column(2).to_pylist():
-                ids = np.frombuffer(raw, "<u2")
-                data, total, at = encode(ids, codes, bits, stride)
-                n_ids.append(len(ids))
-                n_bits.append(total)
-                marks.append(at)
-                payload.append(data)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_ids, pa.int64()), pa.array(n_bits, pa.int64()), pa.array(marks, marks_type), pa.array(payload, pa.binary())],
-                names=["row", "doc_id", "n_ids", "n_bits", "marks", "payload"],
-            )
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                raw = part.column(2).to_pylist()
+                n = np.array([len(x) >> 1 for x in raw], np.int64)
+                payload, ends, total, marks, counts = encode_many(np.frombuffer(b"".join(raw), "<u2"), n, codes, bits, stride)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), part.column(1), pa.array(n), pa.array(total),
+                        pa.ListArray.from_arrays(pa.array(offsets(np.cumsum(counts))), pa.array(marks)),
+                        pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets(ends)), pa.py_buffer(payload)]),
+                    ],
+                    names=names,
+                )
 
     return run
 
@@ -415,12 +453,12 @@ _LEAST = -(1 << 63)
 
 
 def _part(ids: DataFrame):
-    """Number of the range that (doc_id, row) falls in, of as many as there are shuffle partitions.
+    """Number of the range that (doc_id, row) falls in, of twice as many as there are shuffle partitions.
 
     Bounds come from quantiles of the staged ids, which are read alone; a range partitioner would
     encode everything once more to sample it. Where one id fills ranges, it is cut by row.
     """
-    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = 2 * int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = ids.select(F.coalesce("doc_id", F.lit(_LEAST)).alias("i"), "row")
     bounds = [(int(x), _LEAST) for x in key.approxQuantile("i", [k / n for k in range(1, n)], 1e-3)] if n > 1 else []
     often = {i: bounds.count((i, _LEAST)) for i, _ in set(bounds)}
@@ -486,7 +524,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, text: str
     counts.setdefault(end, 1)
     lengths = code_lengths(counts)
     spark.createDataFrame([(sorted(lengths), [lengths[i] for i in sorted(lengths)], stride)], "ids array<int>, bits array<int>, stride int").coalesce(1).write.parquet(f"{path}/header")
-    coded = ids.mapInArrow(_coded(lengths, stride), "row long, doc_id long, n_ids long, n_bits long, marks array<long>, payload binary")
+    coded = ids.mapInArrow(_coded(lengths, stride), _CODED)
     coded = coded.withColumn("part", _part(ids)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
     coded = coded.sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "row")
     coded.mapInArrow(_blocked(BLOCK_DOCS, BLOCK_BYTES), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
