@@ -208,6 +208,12 @@ def test_repeats_inside_one_text_and_overlaps(spark, tmp_path):
 
 def test_runs_are_sorted_and_compacted(spark, tmp_path):
     index = substring.RunIndex(spark, str(tmp_path / "runs"), fanout=2)
+    for i in range(5):
+        met = index.add(spark.range(100).selectExpr(f"(id * 37 + {i}) % 50 AS print", "id AS row", "CAST(id AS INT) AS at"))
+        assert met.count() == 50
+    assert sorted(r["print"] for r in index.add(spark.range(3).selectExpr("id + 48 AS print", "id AS row", "0 AS at")).collect()) == [48, 49]
+    assert sorted(r["print"] for r in index.places(spark.createDataFrame([(50,)], "print long")).selectExpr("row AS print").collect()) == [2]
+    index.drop()
     for i in range(5):
         index.add(spark.range(100).selectExpr(f"(id * 37 + {i}) % 50 AS print", "id AS row", "CAST(id AS INT) AS at"))
     assert [len(x) for x in index.levels] == [1, 0, 1] and index.postings().count() == 500

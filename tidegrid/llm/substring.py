@@ -5,7 +5,7 @@ tie); equal windows hold the same one at the same offset. These prints, about on
 the index: immutable runs of (print, row, at), each sorted by print, one for each batch of
 documents. A batch is merge-joined with the runs; `fanout` runs of a level are compacted to one of
 the next. Only windows whose smallest print has two postings can repeat. Those windows are verified:
-the hashes of all their words, 96 bits of two polynomials, are compared, and both places are marked.
+the hashes of all their words, 95 bits of two polynomials, are compared, and both places are marked.
 Marked windows cover the words that go. A batch's own windows and all earlier ones are judged on the
 texts as they came in, so the order of batches does not matter.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from tidegrid.llm.common import OWN, prepare, read, with_row_id
 
 WINDOW = 35
 GRAM = 8
-_CACHE = 400_000
+_CACHE = 200_000
 _STEP = 1 << 18
 _M1, _M2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
@@ -113,10 +114,11 @@ def _postings(window: int, gram: int):
 
 
 def _windows(window: int, gram: int):
-    """Windows that may repeat: one row for each distinct one of a task's stretch, and marks for its other places.
+    """Windows that may repeat, h1, tail, row: one row for each distinct one of a task's stretch, and marks for its other places.
 
-    Out: h1, h2, row, at, known. known: the window is certain to repeat; such a row's place, where
-    it has one, is marked, and it serves as a partner for other tasks' rows.
+    tail holds 31 more bits of the hash, whether the window is known to repeat, and the place. A
+    known window's row serves as a partner for other tasks' rows; row is null where a whole text
+    goes anyhow. Marks are known, and carry a hash of their place instead, so that they spread.
     """
 
     def sent(parts: list) -> pa.RecordBatch:
@@ -127,28 +129,21 @@ def _windows(window: int, gram: int):
         group = np.cumsum(new) - 1
         many = ((np.bincount(group) > 1) | (np.bincount(group, known) > 0))[group]
         keep = new | (many & ~known)  # a whole text's copies are known to go: their places need no marks
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(h1.view(np.int64)[keep], mask=~new[keep]),
-                pa.array(h2.astype(np.int32)[keep]),
-                pa.array(row[keep], mask=known[keep]),
-                pa.array(at.astype(np.int32)[keep]),
-                pa.array(many[keep]),
-            ],
-            names=["h1", "h2", "row", "at", "known"],
-        )
+        h1 = np.where(new, h1, _mixed(row.view(np.uint64) * np.uint64(_M2) + at.astype(np.uint64)))
+        tail = (h2 << np.uint64(33)) | (many.astype(np.uint64) << np.uint64(32)) | at.astype(np.uint64)
+        return pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)[keep]), pa.array(tail.view(np.int64)[keep]), pa.array(row[keep], mask=known[keep])], names=["h1", "tail", "row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for row, text, copied, ats in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row, _, text, copied, ats in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = _words.of((text or b"").split())
                 g = grams(h, gram)
                 repeats = np.zeros(len(g), bool)
                 repeats[np.array(ats, np.int64)] = True
                 at = np.flatnonzero(repeats[smallest(g, window - gram + 1)])
                 if len(at):
-                    h1, h2 = _polynomials(h, window, _M1)[at], _polynomials(_mixed(h), window, _M2)[at] >> np.uint64(33)
+                    h1, h2 = _polynomials(h, window, _M1)[at], _polynomials(_mixed(h), window, _M2)[at] >> np.uint64(33)  # 64 and 31 bits
                     parts.append((h1, h2, np.full(len(at), row, np.int64), at, np.full(len(at), copied)))
                     held += len(at)
                 if held >= _STEP:
@@ -194,6 +189,9 @@ def _judged(window: int):
     return run
 
 
+_POSTING = "print long, row long, at int"
+
+
 class RunIndex:
     """Immutable runs of postings, sorted by print, in levels of a folder."""
 
@@ -203,7 +201,9 @@ class RunIndex:
 
     def _write(self, postings: DataFrame, level: int) -> str:
         path = f"{self.folder}/level-{level}-{uuid.uuid4().hex}"
-        postings.repartition("print").sortWithinPartitions("print").write.option("compression", "zstd").parquet(path)
+        if level:  # merged runs are fewer, longer files; the postings of a frequent print are shared out among 32
+            postings = postings.repartition("print", F.pmod(F.xxhash64("row"), F.lit(32)))
+        postings.sortWithinPartitions("print").write.option("compression", "zstd").parquet(path)
         return path
 
     def runs(self) -> list[str]:
@@ -211,32 +211,53 @@ class RunIndex:
 
     def postings(self) -> DataFrame | None:
         paths = self.runs()
-        return self.spark.read.parquet(*paths) if paths else None
+        return self.spark.read.schema(_POSTING).parquet(*paths) if paths else None
 
-    def add(self, postings: DataFrame) -> None:
-        """A new run; full levels are compacted, and only then are their runs dropped."""
+    def add(self, postings: DataFrame) -> DataFrame:
+        """Write a batch's postings as a new run; returns its prints that repeat, in it or in earlier runs.
+
+        The new run is merge-joined with all runs there are. Full levels are compacted afterwards, and
+        only when the longer run is written do its parts go.
+        """
+        history = self.postings()
         self.levels[0].append(self._write(postings, 0))
+        new = self.spark.read.schema(_POSTING).parquet(self.levels[0][-1]).groupBy("print").agg(F.count(F.lit(1)).alias("n"))
+        if history is None:
+            met = new.filter("n > 1").select("print")
+        else:
+            seen = history.select("print").distinct().withColumn("seen", F.lit(True))
+            met = new.join(seen, "print", "left").filter("n > 1 OR seen").select("print")
+        met = met.checkpoint()
         level = 0
         while len(self.levels[level]) >= self.fanout:
             old = self.levels[level]
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._write(self.spark.read.parquet(*old), level + 1))
+            self.levels[level + 1].append(self._write(self.spark.read.schema(_POSTING).parquet(*old), level + 1))
             self.levels[level] = []
-            for path in old:
-                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            self._delete(old)
             level += 1
+        return met
+
+    def _delete(self, paths: list[str]) -> None:
+        for path in paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
-    def repeated(self) -> DataFrame:
-        """(row, ats): the postings whose print has another posting."""
-        all_runs = self.postings()
-        twice = all_runs.groupBy("print").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("print").checkpoint()
-        return all_runs.join(twice, "print").groupBy("row").agg(F.collect_list("at").alias("ats"))
+    def drop(self) -> None:
+        self._delete(self.runs())
+        self.levels = [[]]
 
+    def places(self, prints: DataFrame) -> DataFrame:
+        """(row, ats): where some prints stand."""
+        return self.postings().join(prints, "print").groupBy("row").agg(F.collect_list("at").alias("ats"))
 
-def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None, window: int = WINDOW, gram: int = GRAM, batches: int = 2) -> DataFrame:
-    """row, doc_id, n_words, n_removed, kept_sha256 and the removed word spans of every row."""
+
+def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None, window: int = WINDOW, gram: int = GRAM, batches: int = 2, fanout: int = 2) -> DataFrame:
+    """row, doc_id, n_words, n_removed, kept_sha256 and the removed word spans of every row.
+
+    docs go into an index of their own in `batches`; its runs are dropped once repeated prints are known.
+    """
     if not 1 <= gram <= window:
         raise ValueError("a print is of 1 to `window` words")
     spark = docs.sparkSession
@@ -245,22 +266,24 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         docs, row = with_row_id(docs), OWN + "row"
     d = docs.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
     base = spark.sparkContext.getCheckpointDir()
-    index = RunIndex(spark, f"{base}/runs-{uuid.uuid4().hex}", fanout=max(2, batches))
+    index = RunIndex(spark, f"{base}/runs-{uuid.uuid4().hex}", fanout)
+    met = []
     for i in range(batches):
         batch = d.filter(F.pmod(F.xxhash64("row"), F.lit(batches)) == i) if batches > 1 else d
-        index.add(batch.select("row", "text").mapInArrow(_postings(window, gram), "print long, row long, at int"))
-    repeated = index.repeated()
+        met.append(index.add(batch.select("row", "text").mapInArrow(_postings(window, gram), _POSTING)))
+    repeated = index.places(reduce(DataFrame.union, met).distinct().checkpoint())
     # whole copies, by 128 bits: the first row of a text speaks for all
     whole = d.select("row", F.unhex(F.md5("text")).alias("same")).filter("same IS NOT NULL").checkpoint()
     copies = whole.groupBy("same").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("same", "first").checkpoint()
     copied = whole.join(copies, "same").select("row", (F.col("row") == F.col("first")).alias("speaks"))
     states = repeated.join(copied, "row", "full").select("row", "ats", F.coalesce("speaks", F.lit(True)).alias("speaks"), F.col("speaks").isNotNull().alias("copied")).checkpoint()
+    index.drop()
     speakers = states.filter("speaks AND ats IS NOT NULL").select("row", "ats", "copied")
-    found = d.join(speakers, "row").select("row", "text", "copied", "ats").mapInArrow(_windows(window, gram), "h1 long, h2 int, row long, at int, known boolean")
-    sent = found.filter("h1 IS NOT NULL")
-    same = Window.partitionBy("h1", "h2")
-    meet = sent.withColumn("n", F.count(F.lit(1)).over(same)).filter("row IS NOT NULL AND (known OR n > 1)").select("row", "at")
-    marks = meet.unionByName(found.filter("h1 IS NULL").select("row", "at")).groupBy("row").agg(F.collect_list("at").alias("marks"))
+    # doc_id comes along so that both joins with texts read one exchange
+    found = d.join(speakers, "row").select("row", "doc_id", "text", "copied", "ats").mapInArrow(_windows(window, gram), "h1 long, tail long, row long")
+    same = Window.partitionBy("h1", F.shiftrightunsigned("tail", 33))
+    meet = found.withColumn("n", F.count(F.lit(1)).over(same)).filter("row IS NOT NULL AND (n > 1 OR shiftrightunsigned(tail, 32) & 1 = 1)")
+    marks = meet.groupBy("row").agg(F.collect_list(F.col("tail").bitwiseAND((1 << 32) - 1).cast("int")).alias("marks"))
     told = states.filter("copied").select("row", "copied")
     marks = marks.join(told, "row", "full").select("row", F.coalesce("copied", F.lit(False)).alias("copied"), "marks")
     out = d.join(marks, "row", "left").select("row", "doc_id", "text", "copied", "marks")
