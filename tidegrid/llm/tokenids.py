@@ -453,7 +453,7 @@ _LEAST = -(1 << 63)
 
 
 def _part(ids: DataFrame):
-    """Number of the range that (doc_id, row) falls in, of twice as many as there are shuffle partitions.
+    """Number of the range that (doc_id, row) falls in, and how many ranges there are: about twice the shuffle partitions.
 
     Bounds come from quantiles of the staged ids, which are read alone; a range partitioner would
     encode everything once more to sample it. Where one id fills ranges, it is cut by row.
@@ -468,9 +468,9 @@ def _part(ids: DataFrame):
             bounds += [(i, int(x)) for x in cuts]
     some = sorted(set(bounds))
     if not some:
-        return F.lit(0)
+        return F.lit(0), 1
     known = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(r).cast("long").alias("r")) for i, r in some])
-    return F.size(F.filter(known, lambda b: b <= F.struct(F.coalesce("doc_id", F.lit(_LEAST)).alias("i"), F.col("row").alias("r"))))
+    return F.size(F.filter(known, lambda b: b <= F.struct(F.coalesce("doc_id", F.lit(_LEAST)).alias("i"), F.col("row").alias("r")))), len(some) + 1
 
 
 def _blocked(docs: int, size: int):
@@ -525,7 +525,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, text: str
     lengths = code_lengths(counts)
     spark.createDataFrame([(sorted(lengths), [lengths[i] for i in sorted(lengths)], stride)], "ids array<int>, bits array<int>, stride int").coalesce(1).write.parquet(f"{path}/header")
     coded = ids.mapInArrow(_coded(lengths, stride), _CODED)
-    coded = coded.withColumn("part", _part(ids)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
+    part, parts = _part(ids)
+    coded = coded.withColumn("part", part).repartitionById(parts, F.col("part"))
     coded = coded.sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "row")
     coded.mapInArrow(_blocked(BLOCK_DOCS, BLOCK_BYTES), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
     where = spark._jvm.org.apache.hadoop.fs.Path(staged)
