@@ -289,6 +289,18 @@ def test_gibberish_is_rejected(spark, some_docs, tmp_path):
     assert sum(not r["kept"] and not r["base_failed"] for r in got.values()) <= 2
 
 
+def test_the_bands_separate_labelled_rows(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    judged, rejected = collections.Counter(), collections.Counter()
+    for r in quality.quality(docs).select("doc_id", "base_failed", "kept").collect():
+        if not r["base_failed"] and r["doc_id"] in labels:
+            judged[labels[r["doc_id"]]] += 1
+            rejected[labels[r["doc_id"]]] += not r["kept"]
+    assert rejected[0] >= 0.2 * judged[0] > 0  # bad texts caught
+    assert rejected[1] <= 0.05 * judged[1]  # good texts lost
+
+
 # -- personal data -------------------------------------------------------------------------------
 
 
