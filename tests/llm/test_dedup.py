@@ -233,3 +233,28 @@ def test_window_hashes_depend_on_words_alone():
     g = substring.grams(twice, 3)
     at = substring.smallest(g, 5)
     assert all(a == i + int(np.argmin(g[i : i + 5])) for i, a in enumerate(at.tolist()))
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def test_families_that_share_a_passage_equal_brute_force(spark, tmp_path):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    passage = [rng.choice(vocabulary) for _ in range(40)]
+    rows = []
+    for own in (20, 8):  # as in a template; the second is mostly the passage
+        for _ in range(150):
+            w = [rng.choice(vocabulary) for _ in range(own)] + passage
+            rows.append(" ".join(w))
+            w[rng.choice((0, 1, own // 2))] = "changed"
+            rows.append(" ".join(w))
+    want = classes(range(len(rows)), [(i, j) for i in range(len(rows)) for j in range(i) if 5 * jaccard(rows[i], rows[j]) >= 4 - 1e-9])
+    assert 150 < len(set(want.values())) < len(rows)
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    for part in (similar.PART, 50):  # crowded lists whole, and in pairs of blocks
+        got = {r["doc_id"]: r["component_id"] for r in similar.similar_dedup(docs, pivots=4, part=part).collect()}
+        assert got == want
