@@ -258,3 +258,18 @@ def test_families_that_share_a_passage_equal_brute_force(spark, tmp_path):
     for part in (similar.PART, 50):  # crowded lists whole, and in pairs of blocks
         got = {r["doc_id"]: r["component_id"] for r in similar.similar_dedup(docs, pivots=4, part=part).collect()}
         assert got == want
+
+
+def test_texts_less_alike_stay_apart(spark, tmp_path):
+    rng = random.Random(7)
+    rows = []
+    for _ in range(60):
+        w = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        rows.append(" ".join(w))
+        for i in range(20, 300, 35):  # 8 words, so 40 of 296 shingles
+            w[i] = "changed"
+        rows.append(" ".join(w))
+    assert all(0.7 < jaccard(a, b) < 0.8 for a, b in zip(rows[::2], rows[1::2], strict=True))
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got = similar.similar_dedup(spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert all(r["component_id"] == r["doc_id"] and r["kept"] for r in got) and len(got) == 120
