@@ -8,6 +8,8 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -65,12 +67,31 @@ def n_words(text: Column) -> Column:
 
 
 def with_row_id(df: DataFrame, name: str = OWN + "row") -> DataFrame:
-    """A number for each row: its place in the immutable files it is read from.
+    """A number for each row: its Parquet file, as leading bits of a hash of the path, and its place in that file.
 
-    Two reads of the same files in one session number them alike, so decisions on rows can be
-    joined back to rows even where ids are null or repeat. Use only on frames straight from files.
+    It does not depend on how files are split among tasks, so decisions on rows can be joined back to
+    rows in any later read, even where ids are null or repeat and executors have come or gone. The hash
+    bits are so many that no two of the files agree in them, which is checked. What is not read from
+    files is numbered once and kept in the checkpoint folder: go on with the frame that is returned.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    files = set(df.inputFiles())
+    if files:
+        try:
+            meta = df.metadataColumn("_metadata")
+            path, place = meta["file_path"], meta["row_index"]
+            df.select(path, place)
+        except AnalysisException:  # a union or an aggregate of files, or files of another kind
+            files = set()
+    if not files:
+        prepare(df.sparkSession)
+        return df.withColumn(name, F.monotonically_increasing_id()).checkpoint()
+    prints = [xxhash.xxh64_intdigest(f.replace("file:///", "file:/", 1), 42) for f in files]  # as Spark's xxhash64 has it
+    bits = min(40, 20 + 2 * len(files).bit_length())
+    while len({x >> (64 - bits) for x in prints}) < len(files):
+        bits += 1
+    leading = F.shiftleft(F.shiftrightunsigned(F.xxhash64(path), 64 - bits), 63 - bits)
+    number = F.when(place < 1 << (63 - bits), leading.bitwiseOR(place)).otherwise(F.raise_error(F.lit("a file has too many rows to number")))
+    return df.withColumn(name, number)
 
 
 def running_total(df: DataFrame, keys: list[str], bucket: str, order: list[Column], value: Column, name: str) -> DataFrame:
