@@ -352,6 +352,113 @@ def test_random_values_round_trip():
     assert len(set(seen.values())) == len(seen)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(st.text(st.characters(), max_size=60), st.text(st.sampled_from("+-./:()@ =01234567894٣४５²AbzGB"), max_size=60), st.from_regex(r"(x \+?[\d ().-]{7,20}|\d{1,4}[-./]\d{1,2}[-./]\d{1,4}|\w{1,5}@\w+\.com|token[=:] ?[\w.+/=-]{16,40}) y?", fullmatch=True)))
+def test_any_text_is_worked_on(text):
+    p = pii.Pseudonyms(b"k")
+    found = pii.find(text, p)
+    last, kept = 0, []
+    for a, b, _, value in found:
+        assert last <= a < b and value != ""
+        assert [c for c in value if c not in "0123456789."] == [c for c in text[a:b] if c not in "0123456789."] or any(c.isalpha() for c in text[a:b])
+        kept.append(text[last:a])
+        last = b
+    assert pii.replaced(text, []) == text and len(kept) == len(found)
+
+
+def valid_by_force(kind, value):
+    """Validity from the definitions, without the operator's code."""
+    d = [int(c) for c in value if c in "0123456789"]
+    if kind == "card":
+        return sum(x if i % 2 == 0 else (2 * x) // 10 + (2 * x) % 10 for i, x in enumerate(reversed(d))) % 10 == 0
+    if kind == "iban":
+        plain = value.replace(" ", "")
+        rest = 0
+        for c in plain[4:] + plain[:4]:
+            n = int(c) if c in "0123456789" else ord(c) - 55
+            rest = (rest * (10 if n < 10 else 100) + n) % 97
+        return rest == 1
+    if kind == "date":
+        dt.datetime.strptime(value, "%Y-%m-%d" if "-" in value else "%d.%m.%Y")
+        return True
+    if kind == "ip":
+        return [str(int(x)) for x in value.split(".")] == value.split(".") and all(int(x) < 256 for x in value.split("."))
+    return True
+
+
+def test_planted_values_are_found_where_they_stand_and_stay_linked():
+    """Every planted value, and nothing else, is found; equal values have equal pseudonyms in all their notations."""
+    rng = random.Random(12)
+    p = pii.Pseudonyms(b"another key")
+    filler = ["plain", "words", "of", "prose", "12", "1,234", "3.14", "٣٢١-٤٥-٦٧٨٩", "٣.٣.٣.٣", "2001-02-30", "v1.2.3.4", "9870157079875996", "wörter"]
+
+    def card():
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        d = next(body + c for c in "0123456789" if valid_by_force("card", body + c))
+        return ["card", d, "-".join(d[i : i + 4] for i in range(0, 16, 4)), " ".join(d[i : i + 4] for i in range(0, 16, 4))]
+
+    def iban():
+        body = "".join(rng.choice("0123456789") for _ in range(18))
+        plain = next(x for n in range(2, 99) if valid_by_force("iban", x := f"DE{n:02}{body}"))
+        return ["iban", plain, " ".join(plain[i : i + 4] for i in range(0, 22, 4))]
+
+    def phone():
+        d = "".join(rng.choice("23456789") for _ in range(10))
+        return ["phone", f"+1 {d[:3]} {d[3:6]} {d[6:]}", f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"+1 ({d[:3]}) {d[3:6]}-{d[6:]}"]
+
+    def far_phone():
+        d = "".join(rng.choice("23456789") for _ in range(8))
+        return ["phone", f"+353 {d[:2]} {d[2:5]} {d[5:]}", f"+353{d}"]
+
+    def day():
+        x = dt.date(1900, 1, 1) + dt.timedelta(days=rng.randrange(73000))
+        return ["date", f"{x:%Y-%m-%d}", f"{x:%d.%m.%Y}"]
+
+    def ip():
+        return ["ip", ".".join(str(rng.randrange(256)) for _ in range(4))]
+
+    def email():
+        return ["email", "".join(rng.choice("abcxyz019") for _ in range(9)) + "@mail.example.org"]
+
+    linked, given, taken = {}, {}, {}
+    for _ in range(300):
+        planted, parts = [], []
+        for make in rng.sample([card, iban, phone, far_phone, day, ip, email], 4):
+            kind, *notations = make()
+            for n in rng.sample(notations, min(2, len(notations))):
+                parts += [rng.choice(filler), (kind, notations[0], n)]
+        text, at = "", 0
+        for x in parts:
+            word = x if isinstance(x, str) else x[2]
+            if not isinstance(x, str):
+                planted.append((len(text), len(text) + len(word), x[0], x[1]))
+            text += word + " and "
+        found = pii.find(text, p)
+        assert [f[:3] for f in found] == [w[:3] for w in planted], text
+        for (_, _, kind, value), (a, b, _, new) in zip(planted, found, strict=True):
+            assert valid_by_force(kind, new)
+            assert kind == "ip" or re.sub("[0-9]", "9", re.sub("[a-z]", "a", new)) == re.sub("[0-9]", "9", re.sub("[a-z]", "a", text[a:b]))
+            content = "".join(c for c in new if c.isalnum())
+            content = content[-10:] if kind == "phone" and value.startswith("+1") else content if kind != "date" else str(sorted(re.split("[-.]", new)))
+            if kind != "date" or "-" in new:
+                assert linked.setdefault((kind, value), content) == content
+            given.setdefault(kind, set()).add(value)
+            taken.setdefault(kind, set()).add(content) if kind != "date" or "-" in new else None
+    for kind in ("card", "iban", "ip", "email"):
+        assert len(taken[kind]) == len(given[kind])  # different values stay different
+
+
+def test_secrets_are_taken_to_their_end():
+    p = pii.Pseudonyms(b"k")
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    for value in (jwt, "Ab1/" * 300, "0123456789abcdef" * 40, "A1B2" * 4 + "=="):
+        text = f"token = '{value}' and more"
+        ((a, b, kind, new),) = pii.find(text, p)
+        assert (kind, text[a:b]) == ("secret", value) and len(new) == len(value) and new != value
+        there = pii.replaced(text, [(a, b, kind, new)])
+        assert pii.replaced(there, pii.find(there, p, back=True)) == text
+
+
 def test_tables_of_personal_data(some_docs, odd_docs, no_docs):
     for docs in (some_docs, odd_docs):
         p = pii.Pseudonyms(b"key")

@@ -8,8 +8,11 @@ date a date in the same notation, and an address in one letter case or spacing k
 permutation: with one key, equal values stay equal in all documents and different ones different.
 
 The values of a kind are permuted by content, not by notation: 4111-1111-... and 4111 1111 ... are
-linked, as are 2001-02-03 and 03.02.2001. Secrets after `token =`, `key:` and the like keep their
-alphabet. Numbers that fail validation stay as they are.
+linked, as are 2001-02-03 and 03.02.2001, and (555) 123-4567 and +1 555 123 4567: a number without a
+country code is one of the code 1, whose notations those are. Secrets after `token =`, `key:` and the
+like are taken to their end, dots and padding included, and keep their alphabet; long ones are permuted
+in parts. Digits are those of ASCII; other scripts' are letters like any. Numbers that fail validation
+stay as they are, as do four numbers with dots that `v` or `version` calls a version.
 
 Without the key pseudonyms can't be led back; with it `Pseudonyms(key).restored` does. The key is a
 parameter, never written out. Texts are worked on where they are read: there is no shuffle.
@@ -112,7 +115,7 @@ class Pseudonyms:
 
 def _refill(notation: str, digits: str) -> str:
     left = iter(digits)
-    return "".join(next(left) if c.isdigit() else c for c in notation)
+    return "".join(next(left) if c in _DIGITS else c for c in notation)
 
 
 def _only_digits(text: str) -> str:
@@ -174,14 +177,22 @@ def _card(p: Pseudonyms, text: str, back: bool) -> str | None:
             return _refill(text, d)
 
 
+#: Leading digits of country codes that have one and two digits; all others have three.
+_ONE_DIGIT_CODES = ("1", "7")
+_TWO_DIGIT_CODES = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+    "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+)
+
+
 def _phone(p: Pseudonyms, text: str, back: bool) -> str | None:
     d = _only_digits(text)
     if not 8 <= len(d) <= 15:
         return None
-    code = len(re.match(r"\+?(\d*)", text)[1]) if text[0] == "+" else 0
-    if code > 3:  # no separator after the country code
-        code = 1 if d[0] in "17" else 2
-    return _refill(text, d[:code] + p.digits(d[code:], "phone+" + d[:code], back))
+    if text[0] == "+":
+        code = 1 if d.startswith(_ONE_DIGIT_CODES) else 2 if d.startswith(_TWO_DIGIT_CODES) else 3
+        return _refill(text, d[:code] + p.digits(d[code:], "phone+" + d[:code], back))
+    return _refill(text, p.digits(d, "phone+1", back))
 
 
 def _ip(p: Pseudonyms, text: str, back: bool) -> str | None:
@@ -207,7 +218,7 @@ def _ssn(p: Pseudonyms, text: str, back: bool) -> str | None:
 
 
 def _date(p: Pseudonyms, text: str, back: bool) -> str | None:
-    a, mark, b, c = re.fullmatch(r"(\d+)([-/.])(\d+)[-/.](\d+)", text).groups()
+    a, mark, b, c = re.fullmatch(r"([0-9]+)([-/.])([0-9]+)[-/.]([0-9]+)", text).groups()
     for order in ((0, 1, 2),) if len(a) == 4 else ((2, 1, 0), (2, 0, 1)):  # y-m-d; d/m/y, else m/d/y
         y, m, d = (int((a, b, c)[i]) for i in order)
         try:
@@ -232,26 +243,41 @@ def _date(p: Pseudonyms, text: str, back: bool) -> str | None:
         return mark.join(str(v).zfill(w) for v, w in zip(parts, width, strict=True))
 
 
+#: Characters of a secret that are permuted together.
+_SECRET_PART = 256
+
+
 def _secret(p: Pseudonyms, text: str, back: bool) -> str | None:
     if not any(c in _DIGITS for c in text):
         return None
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
-        n = p.permuted(int(text, 16), 16 ** len(text), "hex", back)
-        new = f"{n:0{len(text)}x}"
-        return new.upper() if text.upper() == text and text.lower() != text else new
-    return p.letters(text, "secret", back)
+    parts = [text[i : i + _SECRET_PART] for i in range(0, len(text), _SECRET_PART)]
+    if text.isdigit() or not re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
+        return "".join(p.letters(x, f"secret{i}", back) for i, x in enumerate(parts))
+    upper = text.upper() == text
+    while True:  # what would not be found again is walked past
+        parts = [f"{p.permuted(int(x, 16), 16 ** len(x), f'hex{i}', back):0{len(x)}x}" for i, x in enumerate(parts)]
+        new = "".join(parts)
+        if any(c in _DIGITS for c in new) and not new.isdigit():
+            return new.upper() if upper else new
 
 
 #: kind: (pattern whose group 1 is the value, what must be in a text that has one, replacement).
 KINDS: dict[str, tuple[re.Pattern[str], str, Callable[[Pseudonyms, str, bool], str | None]]] = {
     "email": (re.compile(r"(?<![\w.%+-])([\w.%+-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24})(?![A-Za-z0-9-])"), "@", _email),
-    "secret": (re.compile(r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[ \t]*[=:][ \t]*[\"']?([A-Za-z0-9_+/-]{16,256})"), "", _secret),
-    "iban": (re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?![A-Za-z0-9])"), "", _iban),
-    "ip": (re.compile(r"(?<![\d.])(\d{1,3}(?:\.\d{1,3}){3})(?!\.?\d)"), ".", _ip),
-    "card": (re.compile(r"(?<!\d)(\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{1,7}|\d{4}([ -])\d{6}\3\d{4,5})(?!\d)"), "", _card),
-    "phone": (re.compile(r"(?<![\d+])(\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"), "", _phone),
-    "ssn": (re.compile(r"(?<![\d-])(\d{3}-\d{2}-\d{4})(?![\d-])"), "-", _ssn),
-    "date": (re.compile(r"(?<![\d./-])(\d{4}-\d{1,2}-\d{1,2}|\d{1,2}([/.])\d{1,2}\2\d{4}|\d{4}/\d{1,2}/\d{1,2})(?![\d/-])(?!\.\d)"), "", _date),
+    "secret": (re.compile(r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[ \t]*[=:][ \t]*[\"']?([A-Za-z0-9_+/-]{16,}(?:\.[A-Za-z0-9_+/-]{4,})*={0,2})"), "", _secret),
+    "iban": (re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?![A-Za-z0-9])"), "", _iban),
+    "ip": (re.compile(r"(?<![0-9.])(?<![Vv])(?<![Vv]ersion )([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\.?[0-9])"), ".", _ip),
+    "card": (re.compile(r"(?<![0-9])([0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{4,5})(?![0-9])"), "", _card),
+    "phone": (
+        re.compile(
+            r"(?<![0-9+])(\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}"
+            r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
+        ),
+        "",
+        _phone,
+    ),
+    "ssn": (re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"), "-", _ssn),
+    "date": (re.compile(r"(?<![0-9./-])([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2})(?![0-9/-])(?!\.[0-9])"), "", _date),
 }
 _ANY = re.compile(r"[0-9@]")
 
