@@ -256,49 +256,65 @@ def test_the_model_and_verdicts_equal_brute_force(some_docs, odd_docs, no_docs):
         g = quality.packed((r["text"] or "").encode())
         base = base_by_force(r["text"])
         failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
-        want[r["doc_id"]] = (r["lang"], base, failed, -sum(models[r["lang"], r["fold"]](int(x)) for x in g) / len(g) if base[0] else None)
+        want[r["doc_id"]] = (r["lang"], base, failed, -sum(models[r["lang"], r["fold"]](int(x)) for x in g) / len(g) if base[0] else None, len(g))
     bands = {}
     for lang in by:
-        bins = sorted(round(x[3] * 1000) for x in want.values() if x[0] == lang and not x[2])
-        if bins:
-            middle = bins[(len(bins) - 1) // 2]
-            mad = sorted(abs(b - middle) for b in bins)[(len(bins) - 1) // 2]
-            bands[lang] = (middle / 1000, max(mad / 1000, 0.05) * 4)
-    for limit in (quality.MODEL_ROWS, 0):  # broadcast, and joined in Spark
-        got = quality.quality(some_docs, width=4.0, model_rows=limit).collect()
+        some = [x for x in want.values() if x[0] == lang and not x[2]]
+        if some:
+            middle = sorted(x[3] for x in some)[(len(some) - 1) // 2]
+            bands[lang] = middle, max(sorted(abs(x[3] - middle) * math.sqrt(x[4]) for x in some)[(len(some) - 1) // 2], quality.LEAST_DEVIATION)
+    low = high = 0
+    for limit in (quality.MODEL_ROWS, 0):  # broadcast, and joined in Spark; both at the registered settings
+        got = quality.quality(some_docs, model_rows=limit).collect()
         assert len(got) == len(rows) and any(not r["kept"] and not r["base_failed"] for r in got)
         for r in got:
-            lang, base, failed, log = want[r["doc_id"]]
+            lang, base, failed, log, n = want[r["doc_id"]]
             assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == base and r["base_failed"] == failed
             assert r["log_perplexity"] == pytest.approx(log, abs=1e-5)
-            away = abs(log - bands[lang][0]) - bands[lang][1] if lang in bands else 0
-            if abs(away) > 0.002:
-                assert r["kept"] == (not failed and away < 0)
+            if lang in bands and not failed:
+                away = (log - bands[lang][0]) * math.sqrt(n) / bands[lang][1]
+                if min(abs(away + quality.LOW_WIDTH), abs(away - quality.HIGH_WIDTH)) > 0.05:
+                    assert r["kept"] == (-quality.LOW_WIDTH < away < quality.HIGH_WIDTH)
+                low += away < -1
+                high += away > 1
+            else:
+                assert not r["kept"]
+    assert low > 20 and high > 20
     odd = quality.quality(odd_docs).collect()
     assert len(odd) == 18 and collections.Counter(r["n_words"] for r in odd) == collections.Counter(base_by_force(r["text"])[0] for r in odd_docs.select("text").collect())
     assert quality.quality(no_docs).count() == 0
 
 
-def test_gibberish_is_rejected(spark, some_docs, tmp_path):
+def test_planted_texts_are_rejected_on_both_sides(spark, some_docs, tmp_path):
     rng = random.Random(9)
-    junk = " ".join("".join(rng.choice("qxzjkvw#%7") for _ in range(8)) for _ in range(200))
-    docs = some_docs.filter("lang = 'en'").select("doc_id", "text", "lang").union(spark.createDataFrame([(10**6, junk, "en")], "doc_id long, text string, lang string"))
-    docs.write.parquet(str(tmp_path / "d"))
+    docs = some_docs.filter("lang = 'en'").select("doc_id", "text", "lang")
+    words = collections.Counter(w for r in docs.collect() for w in (r["text"] or "").lower().split())
+    usual = [w for w, _ in words.most_common(24) if w.isalpha()]
+    planted = {
+        10**6: " ".join("".join(rng.choice("qxzjkvw#%7") for _ in range(8)) for _ in range(200)),  # gibberish
+        10**6 + 1: " ".join(rng.choice(usual) for _ in range(300)),  # all too usual
+        10**6 + 2: " ".join("".join(rng.sample(w, len(w))) for w in rng.choices([w for w in words if len(w) > 5], k=200)),  # letters in disorder
+    }
+    rows = spark.createDataFrame([(i, t, "en") for i, t in planted.items()], "doc_id long, text string, lang string")
+    docs.union(rows).write.parquet(str(tmp_path / "d"))
     got = {r["doc_id"]: r for r in quality.quality(spark.read.parquet(str(tmp_path / "d"))).collect()}
-    assert not got[10**6]["kept"] and not got[10**6]["base_failed"]
-    assert sum(not r["kept"] and not r["base_failed"] for r in got.values()) <= 2
+    assert not any(got[i]["base_failed"] or got[i]["kept"] for i in planted)
+    assert got[10**6]["log_perplexity"] > got[10**6]["high"] and got[10**6 + 2]["log_perplexity"] > got[10**6 + 2]["high"]
+    assert got[10**6 + 1]["log_perplexity"] < got[10**6 + 1]["low"]
 
 
 def test_the_bands_separate_labelled_rows(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
-    judged, rejected = collections.Counter(), collections.Counter()
-    for r in quality.quality(docs).select("doc_id", "base_failed", "kept").collect():
+    judged, rejected, sides = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in quality.quality(docs).collect():
         if not r["base_failed"] and r["doc_id"] in labels:
             judged[labels[r["doc_id"]]] += 1
             rejected[labels[r["doc_id"]]] += not r["kept"]
-    assert rejected[0] >= 0.2 * judged[0] > 0  # bad texts caught
-    assert rejected[1] <= 0.05 * judged[1]  # good texts lost
+            sides["low" if r["log_perplexity"] < r["low"] else "high"] += not r["kept"]
+    assert rejected[0] >= 0.3 * judged[0] > 0  # bad texts caught
+    assert rejected[1] <= 0.04 * judged[1]  # good texts lost
+    assert sides["low"] and sides["high"]
 
 
 # -- personal data -------------------------------------------------------------------------------

@@ -6,12 +6,15 @@ by their hash, and each is judged by the model of the other fold: a model that h
 own gibberish would find it usual. Highest-order counts are taken over all texts, summed in the tasks and then by Spark; lower orders count distinct
 continuations; discounts follow from the counts of counts of each language and order. The model is
 kept as arrays of 64-bit hashes, sorted, beside arrays of log probabilities. A document's perplexity
-that lies beyond its language's band, on either side, rejects it: gibberish and symbols above, text
-that repeats itself below. A band goes from the median of log perplexity LOW_WIDTH median absolute
-deviations down and HIGH_WIDTH up; the deviation counts as LEAST_DEVIATION at least, a little less than
-prose has. The widths were chosen on labelled rows: the next narrower width rejects about as many
-good texts more as bad ones. A given `width` instead reaches that many deviations of `floor` at
-least on both sides. Both medians come from exact histograms.
+that lies beyond its language's band, on either side, rejects it: gibberish and symbols above, what
+is all too usual below.
+
+A mean over n symbols strays from that of its language by about 1 / sqrt(n), so the band is as narrow
+for a document of n symbols: from the median of log perplexity LOW_WIDTH deviations down and
+HIGH_WIDTH up, a deviation being the median, over the language's documents, of the distance to that
+median times sqrt(n) (LEAST_DEVIATION at least), divided by sqrt(n). The widths were chosen on one half
+of the labelled rows of a sample. A given `width` goes that many deviations to both sides instead.
+Medians come from exact histograms.
 
 An n-gram is of `ORDER` symbols: lower-cased letters in 16 bits each (code points beyond share one),
 any digit, one space for any white space, three start marks. Four symbols pack into 64 bits, and
@@ -41,12 +44,13 @@ from tidegrid.llm.common import OWN, prepare, read, sliced, with_row_id
 ORDER = 4
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-LOW_WIDTH = 6.0
-HIGH_WIDTH = 6.0
-LEAST_DEVIATION = 0.01
-FLOOR = 0.05
+LOW_WIDTH = 5.0
+HIGH_WIDTH = 5.0
+LEAST_DEVIATION = 0.25
 MODEL_ROWS = 4_000_000
-_BIN = 1000
+#: Bins of a histogram for each unit, and the most that it tells apart.
+_BIN = 10_000
+_FAR = 100
 _CHUNK = 1 << 18
 #: n-grams of one language and fold that a task holds before it sums them.
 _HELD = 1 << 20
@@ -335,7 +339,7 @@ def _medians(df: DataFrame, value: str, name: str) -> DataFrame:
     return counts.filter(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg(F.min(value).alias(name))
 
 
-def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", row: str | None = None, width: float | None = None, floor: float = FLOOR, model_rows: int = MODEL_ROWS) -> DataFrame:
+def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", row: str | None = None, width: float | None = None, model_rows: int = MODEL_ROWS) -> DataFrame:
     """Of every row: row, doc_id, lang, the counts, log_perplexity, low and high of its band, base_failed and kept."""
     spark = docs.sparkSession
     prepare(spark)
@@ -359,14 +363,18 @@ def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
     scored = scored.withColumn("bin", F.round(F.col("log_perplexity") * _BIN).cast("long"))
     judged = scored.filter("NOT base_failed")
     middle = _medians(judged, "bin", "middle")
-    apart = _same(judged.select("lang", "bin"), middle, ["lang"]).withColumn("apart", F.abs(F.col("bin") - F.col("middle")))
+    apart = F.abs(F.col("bin") - F.col("middle")) * F.sqrt("n_grams")
+    apart = _same(judged.select("lang", "bin", "n_grams"), middle, ["lang"]).withColumn("apart", F.least(F.round(apart).cast("long"), F.lit(_FAR * _BIN)))
     bands = _same(middle, _medians(apart, "apart", "mad"), ["lang"])
-    low, high, least = (LOW_WIDTH, HIGH_WIDTH, LEAST_DEVIATION) if width is None else (width, width, floor)
-    deviation = F.greatest(F.col("mad") / _BIN, F.lit(least))
-    bands = bands.select(F.col("lang").alias(OWN + "lang"), (F.col("middle") / _BIN - deviation * low).alias("low"), (F.col("middle") / _BIN + deviation * high).alias("high"))
-    out = scored.join(bands, F.col("lang").eqNullSafe(F.col(OWN + "lang")), "left").drop(OWN + "lang", "bin", "logp", "n_grams")
+    deviation = F.greatest(F.col("mad") / _BIN, F.lit(LEAST_DEVIATION))
+    bands = bands.select(F.col("lang").alias(OWN + "lang"), (F.col("middle") / _BIN).alias(OWN + "middle"), deviation.alias(OWN + "deviation"))
+    out = scored.join(bands, F.col("lang").eqNullSafe(F.col(OWN + "lang")), "left")
+    reach = F.when(F.col("n_grams") > 0, F.col(OWN + "deviation") / F.sqrt("n_grams"))
+    low, high = (LOW_WIDTH, HIGH_WIDTH) if width is None else (width, width)
+    out = out.withColumn("low", F.col(OWN + "middle") - reach * low).withColumn("high", F.col(OWN + "middle") + reach * high)
     inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return out.withColumn("kept", F.coalesce(~F.col("base_failed") & inside, F.lit(False)))
+    out = out.withColumn("kept", F.coalesce(~F.col("base_failed") & inside, F.lit(False)))
+    return out.drop(OWN + "lang", OWN + "middle", OWN + "deviation", "bin", "logp", "n_grams")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
