@@ -144,6 +144,16 @@ def test_components_of_chains_stars_and_loops(spark):
     assert graph.components(df.filter("u < 0")).count() == 0
 
 
+def test_a_hub_is_shared_among_tasks(spark):
+    star = spark.range(1, 4000).selectExpr("0L AS u", "id AS v").union(spark.createDataFrame([(9000, 9001)], "u long, v long"))
+    shared = graph._shared(star)
+    rows = [r["count"] for r in shared.groupBy("u", "s").count().filter("u = 0").collect()]
+    assert len(rows) == 4 and max(rows) < 1100
+    assert {(r["u"], r["m"]) for r in graph._least(shared).collect()} == {(0, 1), (9000, 9001)}
+    plan = shared.join(graph._least(shared), ["u", "s"])._jdf.queryExecution().toString()
+    assert "hashpartitioning(u#" in plan and ", s#" in plan
+
+
 def test_alike_texts_are_found(spark, some_docs, odd_docs, no_docs, tmp_path):
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(4000)]

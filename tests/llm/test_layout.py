@@ -46,7 +46,7 @@ def test_targets_stop_at_three_times_a_source(spark):
 def test_sources_reach_their_targets(some_docs, odd_docs, no_docs):
     for docs in (some_docs, odd_docs):
         for bucket in (20_000, 3):
-            got = mixing.mix(docs, bucket_rows=bucket).collect()
+            got = mixing.mix(docs, range_rows=bucket).collect()
             assert len(got) == docs.count()
             by = collections.defaultdict(list)
             for r in got:
@@ -65,6 +65,17 @@ def test_sources_reach_their_targets(some_docs, odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == 0
 
 
+def test_no_range_grows_with_what_many_rows_share(spark, tmp_path):
+    # a source without words, one id that a third of the rows share, and null ids
+    df = spark.range(3000).selectExpr("CASE id % 3 WHEN 0 THEN id WHEN 1 THEN 7 END AS doc_id", "IF(id % 2 = 0, 'a b c', '') AS text", "IF(id % 2 = 0, 'full', 'bare') AS source")
+    df.repartition(3).write.parquet(str(tmp_path / "d"))
+    d = common.with_row_id(spark.read.parquet(str(tmp_path / "d")), "row").withColumn("u", F.lit(0.5))
+    sizes = [r["count"] for r in common.in_ranges(d, [F.col("u"), F.col("doc_id"), F.col("row")], 100, "b").groupBy("b").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 300
+    got = mixing.mix(spark.read.parquet(str(tmp_path / "d")), range_rows=100).collect()
+    assert len(got) == 3000 and sum(r["taken"] for r in got) == 4500 and all(r["target"] == (4500 if r["source"] == "full" else 0) for r in got)
+
+
 def test_running_totals_over_buckets(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "id AS x", "id % 7 AS v", "id div 50 AS b").withColumn("k", F.when(F.col("k") > 0, F.col("k")))
     got = {r["x"]: r["t"] for r in common.running_total(df, ["k"], "b", [F.col("x")], F.col("v"), "t").collect()}
@@ -152,11 +163,36 @@ def test_every_token_is_packed_once(some_docs, odd_docs, no_docs, options):
                 assert offset == at
                 at += length
             assert {(x[2], x[3]) for x in b} == {(min(c for c in permitted if c >= at), at)}
-    assert packing.pack_documents(no_docs, **options).count() == 0
+    assert packing.pack(no_docs, "n_chars", **options).count() == 0
     with pytest.raises(ValueError):
         packing.pack(some_docs, "n_chars", permitted=())
 
 
+@pytest.mark.parametrize("options", [{}, {"permitted": (16, 64), "group_pieces": 50, "chunk": 20}])
+def test_sequences_hold_every_id_once(some_docs, odd_docs, no_docs, options):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    permitted = options.get("permitted", packing.LENGTHS)
+    for docs in (some_docs, odd_docs):
+        rows = common.with_row_id(docs, "r")
+        want = {r["r"]: (r["doc_id"], [*library.encode(r["text"] or "", add_special_tokens=False).ids, 1]) for r in rows.collect()}
+        got = collections.defaultdict(list)
+        for b in packing.pack_documents(rows, path, row="r", **options).collect():
+            assert len(b["ids"]) == b["bin_used"] and b["bin_length"] == min(c for c in permitted if c >= b["bin_used"])
+            assert b["doc_ids"] == [p["doc_id"] for p in b["pieces"]]
+            at = 0
+            for p in b["pieces"]:
+                assert p["offset"] == at and want[p["row"]][0] == p["doc_id"]
+                got[p["row"]].append((p["start"], b["ids"][at : at + p["length"]]))
+                at += p["length"]
+            assert at == b["bin_used"]
+        assert {k: [x for _, part in sorted(v) for x in part] for k, v in got.items()} == {k: v for k, (_, v) in want.items()}
+    assert packing.pack_documents(no_docs, path, **options).count() == 0
+
+
 # -- sharding ------------------------------------------------------------------------------------
 
 

@@ -94,6 +94,15 @@ def with_row_id(df: DataFrame, name: str = OWN + "row") -> DataFrame:
     return df.withColumn(name, number)
 
 
+def in_ranges(df: DataFrame, order: list[Column], rows: int, name: str) -> DataFrame:
+    """df sorted globally to ranges of about so many rows, and the number of each row's range; written, so that it stays.
+
+    The order must tell all rows apart: then no range grows with a key that many rows share.
+    """
+    ranges = max(1, -(-df.count() // rows))
+    return df.repartitionByRange(ranges, *order).withColumn(name, F.spark_partition_id()).checkpoint()
+
+
 def running_total(df: DataFrame, keys: list[str], bucket: str, order: list[Column], value: Column, name: str) -> DataFrame:
     """Running sum of value within keys along (bucket, order), without a task that holds a whole key.
 

@@ -3,7 +3,8 @@
 Each partition first contracts its own edges by union-find (at most `chunk` edges at a time), then
 large-star and small-star rounds (Kiveris et al., 2014) alternate until nothing changes. Every
 round is checkpointed, so a lost executor costs one round. Rounds grow with the logarithm of the
-largest component. The join of a round has one row for each node on one side, so hubs can be split.
+largest component. A node's neighbours are dealt to as many shares as there are tasks; a share has
+its own row of the node's least neighbour to join with, so a hub is never one task's.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 _EDGE = "u long, v long"
 
@@ -51,19 +53,31 @@ def _contract(chunk: int):
     return run
 
 
+def _shared(pairs: DataFrame) -> DataFrame:
+    """pairs (u, v) with s: the share of u's neighbours that v is in."""
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(tasks)))
+
+
+def _least(shared: DataFrame) -> DataFrame:
+    """(u, s, m): for each share of u's neighbours the least of all of them."""
+    own = shared.groupBy("u", "s").agg(F.min("v").alias("m"))
+    return own.withColumn("m", F.min("m").over(Window.partitionBy("u")))
+
+
 def components(edges: DataFrame, chunk: int = 1_000_000) -> DataFrame:
     """(node, root) of every node of edges (u, v) that isn't its component's smallest; root is the smallest."""
     e = edges.select("u", "v").filter("u <> v").mapInArrow(_contract(chunk), _EDGE).distinct().checkpoint()
     before = None
     while True:
         # large-star: what is above a node hangs on the least of the node's neighbourhood
-        both = e.union(e.select("v", "u").toDF("u", "v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        both = _shared(e.union(e.select("v", "u").toDF("u", "v")))
+        least = _least(both).withColumn("m", F.least("u", "m"))
+        large = both.filter("v > u").join(least, ["u", "s"]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         # small-star: a node and what is below it hang on the least of them
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).checkpoint()
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u")
+        down = _shared(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).checkpoint())
+        least = _least(down)
+        small = down.join(least, ["u", "s"])
         e = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct().checkpoint()
         after = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if after == before:

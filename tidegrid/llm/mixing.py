@@ -10,11 +10,13 @@ Targets: sources in code-point order, null last, weigh 1, 2, 3, 1, ... and share
 weight; a target stops at three times the source's size and the excess is shared again by weight.
 That fixed point is found by sorting sources by size / weight and accumulating.
 
-Scale: running totals are taken over buckets (common.running_total), so that no task holds a whole
-source, however much of the input it has. Only the table of sources meets in one task.
+Scale: the queues, and then all entries by finish time, are sorted globally to ranges of about
+`range_rows` rows, and running totals are taken over the ranges (common.running_total). The orders end
+in the row number, so neither a source nor a doc_id that many rows share, null included, makes a
+range or a task longer. One task meets the table of sources, a row for each, and one that of ranges.
 
 Defined results: a null text has size 0; a null source is a source of its own; documents of size 0
-take nothing; a source without words has target 0; rows that repeat whole queue separately. An
+take nothing and don't queue; a source without words has target 0; rows that repeat whole queue separately. An
 empty table gives no rows. Other columns are not read.
 """
 
@@ -24,12 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.llm.common import OWN, n_words, prepare, read, running_total, with_row_id
+from tidegrid.llm.common import OWN, in_ranges, n_words, prepare, read, running_total, with_row_id
 
 MOST_REPEATS = 3
 SEED = "mix"
-#: Rows that one bucket of a running total has on average.
-BUCKET_ROWS = 20_000
+#: Rows that one range of a running total has on average.
+RANGE_ROWS = 20_000
 
 
 def source_targets(sizes: DataFrame, repeats: int = MOST_REPEATS) -> DataFrame:
@@ -52,7 +54,7 @@ def source_targets(sizes: DataFrame, repeats: int = MOST_REPEATS) -> DataFrame:
     return out.select("source", "source_size", "weight", F.when(share.isNull() | (cap < share), cap).otherwise(share).alias("target"))
 
 
-def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", row: str | None = None, repeats: int = MOST_REPEATS, seed: str = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", row: str | None = None, repeats: int = MOST_REPEATS, seed: str = SEED, range_rows: int = RANGE_ROWS) -> DataFrame:
     """row, doc_id, size, source, source_size, target, taken of every row; taken / size is the number of copies."""
     prepare(docs.sparkSession)
     if row is None:
@@ -62,19 +64,20 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
         F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"),
         (F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)).alias("u"),
     ).checkpoint()
-    buckets = max(1, -(-d.count() // bucket_rows))
-    targets = source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), repeats).withColumnRenamed("source", OWN + "source")
-    queue = running_total(d.withColumn("b", F.floor(F.col("u") * buckets)), ["source"], "b", [F.col("u"), F.col("doc_id"), F.col("size"), F.col("row")], F.col("size"), "ahead")
-    queue = queue.join(targets, F.col("source").eqNullSafe(F.col(OWN + "source")))
+    targets = source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), repeats).withColumnRenamed("source", OWN + "source").checkpoint()
+    of_source = F.col("source").eqNullSafe(F.col(OWN + "source"))
+    own = [F.col("u"), F.col("doc_id"), F.col("size"), F.col("row")]
+    queue = in_ranges(d.filter("size > 0"), [F.col("source").asc_nulls_last(), *own], range_rows, "b")
+    queue = running_total(queue, ["source"], "b", own, F.col("size"), "ahead").join(targets, of_source)
     turns = queue.withColumn("turn", F.explode(F.expr(f"sequence(0, {repeats - 1})"))).filter("turn = 0 OR turn * source_size < target")
-    turns = turns.withColumn("finish", F.try_divide((F.col("turn") * F.col("source_size") + F.col("ahead")).cast("double"), F.col("target")))
-    turns = turns.select("row", "doc_id", "size", "source", "source_size", "target", "turn", "u", F.coalesce("finish", F.lit(0.0)).alias("finish"))
-    turns = turns.withColumn("b", F.floor(F.col("finish") / (F.col("finish") + 1) * (2 * buckets)))
-    turns = running_total(turns, [], "b", [F.col("finish"), F.col("source").asc_nulls_last(), F.col("turn"), F.col("u"), F.col("doc_id"), F.col("size"), F.col("row")], F.col("size"), "total")
+    turns = turns.withColumn("finish", (F.col("turn") * F.col("source_size") + F.col("ahead")).cast("double") / F.col("target"))
+    turns = turns.select("row", "doc_id", "size", "source", "turn", "u", "finish")
+    by_finish = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("turn"), *own]
+    turns = running_total(in_ranges(turns, by_finish, range_rows, "b"), [], "b", by_finish, F.col("size"), "total")
     budget = d.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    return turns.groupBy("row", "doc_id", "size", "source", "source_size", "target").agg(
-        F.sum(F.when(F.col("total") <= budget, F.col("size")).otherwise(F.lit(0))).alias("taken")
-    )
+    taken = turns.filter(F.col("total") <= budget).groupBy(F.col("row").alias(OWN + "to")).agg(F.sum("size").alias("taken"))
+    out = d.join(taken, F.col("row") == F.col(OWN + "to"), "left").join(targets, of_source)
+    return out.select("row", "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,8 +201,8 @@ class RunIndex:
 
     def _write(self, postings: DataFrame, level: int) -> str:
         path = f"{self.folder}/level-{level}-{uuid.uuid4().hex}"
-        if level:  # merged runs are fewer, longer files; the postings of a frequent print are shared out among 32
-            postings = postings.repartition("print", F.pmod(F.xxhash64("row"), F.lit(32)))
+        if level:  # merged runs are fewer, longer files; the postings of a frequent print are shared out among all of them
+            postings = postings.repartition("print", "row", "at")
         postings.sortWithinPartitions("print").write.option("compression", "zstd").parquet(path)
         return path
 

@@ -259,6 +259,13 @@ _KNOWN_SHAPE = json.dumps(
 _loaded: dict[str, WordIds] = {}
 
 
+def loaded(path: str, definition: str) -> WordIds:
+    """The words of a tokenizer, once for each Python worker."""
+    if path not in _loaded:
+        _loaded[path] = WordIds(definition)
+    return _loaded[path]
+
+
 def _plain(words: list[bytes]) -> np.ndarray:
     """Which words are of printable ASCII and letters of Latin-1, without what may be a special token."""
     b = np.frombuffer(b"\n".join([*words, b""]), np.uint8)
@@ -276,9 +283,7 @@ def _tokenized(path: str, definition: str, end: int):
     """Each document's ids, and a last row with how often the task has seen each id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _loaded:
-            _loaded[path] = WordIds(definition)
-        words, tail = _loaded[path], np.array([end], "<u2").tobytes()
+        words, tail = loaded(path, definition), np.array([end], "<u2").tobytes()
         total = np.zeros(1 << 16, np.int64)
         names, ints, longs = [x.split()[0] for x in _STAGED.split(", ")], pa.list_(pa.int32()), pa.list_(pa.int64())
         for batch in batches:
