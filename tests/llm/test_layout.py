@@ -234,7 +234,7 @@ def test_shards_of_tables(some_docs, odd_docs, no_docs):
             raw = (r["text"] or "").encode()
             key = -1 if r["doc_id"] is None else r["doc_id"]
             want[(r["doc_id"], len(raw) + 16, zlib.crc32(raw), "key", jump_by_force(key, 5), jump_by_force(key, 6))] += 1
-        got = sharding.shard(docs, 5, bucket_rows=bucket).collect()
+        got = sharding.shard(docs, 5, range_rows=bucket).collect()
         assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"], r["law"], r["shard"], r["grown_shard"]) for r in got) == want
         slots = collections.defaultdict(list)
         for r in got:

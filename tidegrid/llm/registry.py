@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_jump_shards": sharding.OP5_SQL,
         "op7_mix_sources": mixing.OP7_SQL,
         "op8_exact_dedup": exact.OP8_SQL,
     }
