@@ -3,7 +3,7 @@
 Ids are counted over all texts; a canonical Huffman code of at most `MOST_BITS` bits follows from
 the counts, and its code lengths are the whole header. Each document's ids are coded on their own,
 padded to whole bytes, with a checkpoint (the bit offset) every `STRIDE` ids. Documents are
-range-partitioned by doc_id and sorted; every `BLOCK_DOCS` or `BLOCK_BYTES` of them make a block,
+range-partitioned by doc_id and row number, so that one id fills no range, and sorted; every `BLOCK_DOCS` or `BLOCK_BYTES` of them make a block,
 which can be decoded alone. Decoding reads a table indexed by the next MOST_BITS bits and
 runs all checkpoints of a block in step.
 
@@ -65,7 +65,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_keys(raw: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """64-bit hashes of words: of up to eight bytes a bijection, of up to 24 a mix, of more a digest."""
+    """64-bit hashes of words: of up to eight bytes a bijection, of up to 24 a mix, of more a digest.
+
+    WordIds uses 63 bits of it, and 32 of the word's length and letters beside them.
+    """
     padded = raw + b"\0" * 24
     eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # eight bytes from every place on
     size = stop - start
@@ -454,30 +457,6 @@ def _coded(lengths: dict[int, int], stride: int):
 _BLOCK = "part int, seq long, rows array<long>, doc_ids array<long>, n_ids array<long>, n_bits array<long>, checkpoints array<long>, payload binary, block_ids long"
 
 
-_LEAST = -(1 << 63)
-
-
-def _part(ids: DataFrame):
-    """Number of the range that (doc_id, row) falls in, and how many ranges there are: about twice the shuffle partitions.
-
-    Bounds come from quantiles of the staged ids, which are read alone; a range partitioner would
-    encode everything once more to sample it. Where one id fills ranges, it is cut by row.
-    """
-    n = 2 * int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = ids.select(F.coalesce("doc_id", F.lit(_LEAST)).alias("i"), "row")
-    bounds = [(int(x), _LEAST) for x in key.approxQuantile("i", [k / n for k in range(1, n)], 1e-3)] if n > 1 else []
-    often = {i: bounds.count((i, _LEAST)) for i, _ in set(bounds)}
-    for i, times in often.items():
-        if times > 1:
-            cuts = key.filter(F.col("i") == i).approxQuantile("row", [k / times for k in range(1, times)], 1e-2)
-            bounds += [(i, int(x)) for x in cuts]
-    some = sorted(set(bounds))
-    if not some:
-        return F.lit(0), 1
-    known = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(r).cast("long").alias("r")) for i, r in some])
-    return F.size(F.filter(known, lambda b: b <= F.struct(F.coalesce("doc_id", F.lit(_LEAST)).alias("i"), F.col("row").alias("r")))), len(some) + 1
-
-
 def _blocked(docs: int, size: int):
     """Blocks of rows that come sorted by part, doc_id and row; a block is of one part."""
 
@@ -529,10 +508,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, text: str
     counts.setdefault(end, 1)
     lengths = code_lengths(counts)
     spark.createDataFrame([(sorted(lengths), [lengths[i] for i in sorted(lengths)], stride)], "ids array<int>, bits array<int>, stride int").coalesce(1).write.parquet(f"{path}/header")
-    coded = ids.mapInArrow(_coded(lengths, stride), _CODED)
-    part, parts = _part(ids)
-    coded = coded.withColumn("part", part).repartitionById(parts, F.col("part"))
-    coded = coded.sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "row")
+    # sorted as staged numbers: to find the ranges' bounds, ids are only read once more, not coded twice
+    order = [F.col("doc_id").asc_nulls_first(), F.col("row")]
+    ids = ids.repartitionByRange(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    coded = ids.mapInArrow(_coded(lengths, stride), _CODED).withColumn("part", F.spark_partition_id())
     coded.mapInArrow(_blocked(BLOCK_DOCS, BLOCK_BYTES), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
     where = spark._jvm.org.apache.hadoop.fs.Path(staged)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
