@@ -150,18 +150,31 @@ def test_counts_equal_the_library(pieces, text):
 
 def test_chunk_maps_compose_in_any_grouping(pieces):
     counter, library = pieces
+    units = counter.units
     rng = random.Random(7)
-    for _ in range(200):
-        text = "x " + "".join(rng.choice("ab  the\n.é") for _ in range(rng.randrange(40)))
+    without = 0
+    for k in range(300):
+        text = "".join(rng.choice("ab  the\n.é" if k % 3 else "aeth") for _ in range(rng.randrange(1, 40)))
         cuts = sorted({0, len(text), *(rng.randrange(len(text) + 1) for _ in range(4))})
-        maps = [transducer.ChunkMap.of(text[a:b].encode(), counter.units) for a, b in zip(cuts, cuts[1:], strict=False)]
+        parts = [text[a:b].replace(" ", "▁") for a, b in zip(cuts, cuts[1:], strict=False)]
+        maps = [transducer.ChunkMap.of(p, units) for p in parts]
+        without += maps[-1].end is None
         left = maps[0]
         for m in maps[1:]:
-            left = left.then(m, counter.units)
+            left = left.then(m, units)
         right = maps[-1]
         for m in reversed(maps[:-1]):
-            right = m.then(right, counter.units)
-        assert (left.head, left.count, left.tail) == (right.head, right.count, right.tail)
+            right = m.then(right, units)
+        assert (left.head, left.count, left.end) == (right.head, right.count, right.end)
+        assert left.tokens(units) == transducer.scan(maps, units).tokens(units) == len(library.encode(text))
+        # a map holds for whatever state it starts in
+        state, n = units.machine.run(transducer._START, "▁" + parts[0])
+        for p, m in zip(parts[1:], maps[1:], strict=True):
+            after, more = units.machine.run(state, p)
+            end, some = units.machine.run(state, m.head)
+            assert more == some + m.count and after == (end if m.end is None else m.end)
+            state = after
+    assert 0 < without < 300
 
 
 def test_the_transducer_is_the_merges(pieces):
@@ -190,6 +203,8 @@ def test_token_counts_of_tables(some_docs, odd_docs, no_docs, pieces):
         got = transducer.token_counts(docs, path, limit=100).collect()
         assert collections.Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in got) == want
         assert all(r["over_limit"] == (r["n_tokens"] > 100) for r in got)
+        chunked = transducer.token_counts(docs, path, limit=100, chunk_bytes=700).collect()  # long texts as rows of chunks
+        assert collections.Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in chunked) == want and sorted(chunked, key=str) == sorted(got, key=str)
     assert transducer.token_counts(no_docs, path).count() == 0
 
 

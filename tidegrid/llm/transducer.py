@@ -8,10 +8,15 @@ change of the token count. That is a deterministic transducer. It is compiled la
 transition is made when it is first met, and all are dropped beyond a bound.
 
 Where two neighbouring characters stand together in no token, no token crosses: the state returns to
-the start whatever came before. Spaces begin such units, so the map of a chunk of text is: text up to
-its first unit, the count inside, text of its last, open unit. These maps compose associatively, and a
-prefix scan over the chunks of a text gives its count; only joints are read twice. The counts of short
-whole units are remembered.
+the start whatever came before. So the map that a chunk of text makes of states has a short form, valid
+for every state it may start in: what stands before the chunk's first such place is still to be read
+from the state; what comes after adds a fixed count and leads to a fixed state. These maps compose
+associatively. Texts of more than `chunk_bytes` become rows of chunks, whose maps are made in parallel,
+in any order and on any executor, and composed in rounds, neighbours first. A map names its state by
+content, not by number, as each worker compiles its own part of the transducer. A chunk without such a
+place (a megabyte of one letter) is read when its neighbour's state is known.
+
+Spaces begin units that no token crosses; the counts of short whole units are remembered.
 
 Scope: SentencePiece byte-pair models with byte fallback, without text normalisation or user-defined
 symbols, as `compile_counter` checks; others are refused.
@@ -22,6 +27,7 @@ empty table gives no rows; texts of any length are read whole. Other columns are
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -29,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import prepare, read
+from tidegrid.llm.common import OWN, prepare, read, with_row_id
 
 LIMIT = 4096
 SPACE = "▁"
@@ -39,6 +45,10 @@ _MOST_UNITS = 600_000
 _SHORT = 64
 
 
+#: Content of the state before any text.
+_START = ("", (None,), (0,))
+
+
 class CountingTransducer:
     def __init__(self, scores: dict[str, float]):
         """scores: of the tokens; of two neighbours the pair that makes the token of the highest score merges first."""
@@ -52,7 +62,6 @@ class CountingTransducer:
         self._numbers: dict[tuple, int] = {}
         self._states: list[tuple] = []
         self.next: list[dict[str, tuple[int, int]]] = []
-        self.start = self._number(("", (None,), (0,)))
 
     def _number(self, state: tuple) -> int:
         n = self._numbers.get(state)
@@ -111,18 +120,22 @@ class CountingTransducer:
         )
         return self._number(out), emitted
 
-    def count(self, unit: str) -> int:
-        """Tokens of a text, read from the start state."""
+    def run(self, state: tuple, text: str) -> tuple[tuple, int]:
+        """The state, by content, that a text leads to, and the change of the token count on the way."""
         if len(self._states) > _MOST_STATES:
             self._clear()
-        state, total, after = self.start, 0, self.next
-        for char in unit:
-            step = after[state].get(char)
+        at, total, after = self._number(state), 0, self.next
+        for char in text:
+            step = after[at].get(char)
             if step is None:
-                step = after[state][char] = self._step(state, char)
-            state = step[0]
+                step = after[at][char] = self._step(at, char)
+            at = step[0]
             total += step[1]
-        return total
+        return self._states[at], total
+
+    def count(self, unit: str) -> int:
+        """Tokens of a text, read from the start state."""
+        return self.run(_START, unit)[1]
 
 
 class _Units(dict):
@@ -140,42 +153,45 @@ class _Units(dict):
 
 
 _SPACES = re.compile(rb" +[^ ]*")
+_UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
 class ChunkMap:
-    """What a chunk does to a count: text before its first unit, tokens of its whole units, its open last unit (None: no unit begins in it)."""
+    """What a chunk makes of a state: `head` is read from it; then `count` tokens more and the state `end` (None: all of it is head)."""
 
-    __slots__ = ("count", "head", "tail")
+    __slots__ = ("count", "end", "head")
 
-    def __init__(self, head: bytes, count: int, tail: bytes | None):
-        self.head, self.count, self.tail = head, count, tail
+    def __init__(self, head: str, count: int, end: tuple | None):
+        self.head, self.count, self.end = head, count, end
 
     @classmethod
-    def of(cls, chunk: bytes, units: _Units) -> ChunkMap:
-        first = chunk.find(b" ")
-        if first < 0:
-            return cls(chunk, 0, None)
-        parts = _SPACES.findall(chunk, first)
-        # spaces that open the chunk may belong to a run that began before
-        if first == 0 and len(parts) == 1:
+    def of(cls, chunk: str, units: _Units) -> ChunkMap:
+        pairs = units.machine.pairs
+        cut = next((i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in pairs), None)
+        if cut is None:
             return cls(chunk, 0, None)
-        if first == 0:
-            return cls(parts[0], sum(units[p[1:]] for p in parts[1:-1]), parts[-1])
-        return cls(chunk[:first], sum(units[p[1:]] for p in parts[:-1]), parts[-1])
+        head, rest = chunk[:cut], chunk[cut:]
+        first = rest.find(SPACE)
+        parts = _UNIT.findall(rest, first) if first >= 0 else []
+        opening, last = (rest[:first], parts.pop()) if parts else (rest, "")
+        total = sum(units[p[1:].replace(SPACE, " ").encode()] for p in parts)
+        if last:
+            total += units.machine.count(opening)
+            end, n = units.machine.run(_START, last)
+        else:
+            end, n = units.machine.run(_START, opening)
+        return cls(head, total + n, end)
 
     def then(self, other: ChunkMap, units: _Units) -> ChunkMap:
-        if self.tail is None:
-            if other.tail is None:
-                return ChunkMap.of(self.head + other.head, units)
-            joint = ChunkMap.of(self.head + other.head, units)
-            if joint.tail is None:
-                return ChunkMap(joint.head, other.count, other.tail)
-            return ChunkMap(joint.head, joint.count + units[joint.tail[1:]] + other.count, other.tail)
-        if other.tail is None:
-            joint = ChunkMap.of(b"x" + self.tail + other.head, units)
-            return ChunkMap(self.head, self.count + joint.count, joint.tail)
-        joint = _SPACES.findall(self.tail + other.head)
-        return ChunkMap(self.head, self.count + sum(units[p[1:]] for p in joint) + other.count, other.tail)
+        if self.end is None:
+            return ChunkMap(self.head + other.head, other.count, other.end)
+        end, n = units.machine.run(self.end, other.head)
+        return ChunkMap(self.head, self.count + n + other.count, end if other.end is None else other.end)
+
+    def tokens(self, units: _Units) -> int:
+        """Tokens of a text with this map; a space goes before it."""
+        state, n = units.machine.run(_START, SPACE)
+        return n + units.machine.run(state, self.head)[1] + self.count
 
 
 def scan(maps: list[ChunkMap], units: _Units) -> ChunkMap:
@@ -203,16 +219,17 @@ class TokenCounter:
             if b"  " not in text and text[:1] != b" ":
                 return sum(map(self.units.__getitem__, text.split(b" ")))  # each unit is one space and a word; a space goes first
             return sum(self.units[p[1:]] for p in _SPACES.findall(b" " + text))
-        text = b"x " + text  # a unit before the first space, for the scan
-        maps, i = [], 0
-        while i < len(text):
-            j = min(len(text), i + self.chunk_bytes)
-            while j < len(text) and text[j] & 0xC0 == 0x80:
-                j += 1
-            maps.append(ChunkMap.of(text[i:j], self.units))
-            i = j
-        whole = scan(maps, self.units)
-        return whole.count + (self.units[whole.tail[1:]] if whole.tail is not None else 0)
+        maps = [self.chunk_map(text[i : i + self.chunk_bytes + 3], i, self.chunk_bytes) for i in range(0, len(text), self.chunk_bytes)]
+        return scan(maps, self.units).tokens(self.units)
+
+    def chunk_map(self, piece: bytes, place: int, size: int) -> ChunkMap:
+        """Map of the characters that begin in `size` bytes from `place` on; piece has up to three bytes more."""
+        begin, end = 0, min(size, len(piece))
+        while place and begin < min(3, len(piece)) and piece[begin] & 0xC0 == 0x80:
+            begin += 1
+        while end < len(piece) and piece[end] & 0xC0 == 0x80:
+            end += 1
+        return ChunkMap.of(piece[begin:end].decode("utf-8", "replace").replace(" ", SPACE), self.units)
 
 
 _compiled: dict[str, TokenCounter] = {}
@@ -231,11 +248,18 @@ def compile_counter(model: bytes) -> TokenCounter:
     return TokenCounter(CountingTransducer({p.piece: p.score for p in m.pieces if p.type == 1}))
 
 
+def _counter(name: str, model: bytes) -> TokenCounter:
+    if name not in _compiled:  # once for each Python worker
+        _compiled[name] = compile_counter(model)
+    return _compiled[name]
+
+
+_OUT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
+
+
 def _counts(name: str, model: bytes, limit: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _compiled:  # once for each Python worker
-            _compiled[name] = compile_counter(model)
-        counter = _compiled[name]
+        counter = _counter(name, model)
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).to_pylist()]
             n = [counter.count(t) for t in texts]
@@ -247,13 +271,67 @@ def _counts(name: str, model: bytes, limit: int) -> Callable:
     return run
 
 
-def token_counts(docs: DataFrame, model_path: str, text: str = "text", doc_id: str = "doc_id", limit: int = LIMIT) -> DataFrame:
+_MAP = "row long, doc_id long, n_bytes long, at long, head string, count long, end string"
+
+
+def _maps(name: str, model: bytes, size: int) -> Callable:
+    """The map of each chunk; its state as text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(name, model)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                m = counter.chunk_map(one.column(4)[0].as_py(), one.column(3)[0].as_py(), size)
+                told = [pa.array([m.head]), pa.array([m.count], pa.int64()), pa.array([None if m.end is None else json.dumps(m.end)], pa.string())]
+                yield pa.RecordBatch.from_arrays([*one.columns[:4], *told], names=[x.split()[0] for x in _MAP.split(", ")])
+
+    return run
+
+
+def _composed(name: str, model: bytes, limit: int) -> Callable:
+    """Counts of texts whose chunks' maps come together and in order; at most one row for each chunk of one text is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(name, model)
+        row, held = None, []
+
+        def told() -> pa.RecordBatch:
+            maps = [ChunkMap(head, count, None if end is None else tuple(tuple(x) if isinstance(x, list) else x for x in json.loads(end))) for *_, head, count, end in held]
+            n = scan(maps, counter.units).tokens(counter.units)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([held[0][1]], pa.int64()), pa.array([held[0][2]], pa.int64()), pa.array([n], pa.int64()), pa.array([n > limit])], names=["doc_id", "n_bytes", "n_tokens", "over_limit"]
+            )
+
+        for batch in batches:
+            for item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and item[0] != row:
+                    yield told()
+                    held = []
+                row = item[0]
+                held.append(item)
+        if held:
+            yield told()
+
+    return run
+
+
+def token_counts(docs: DataFrame, model_path: str, text: str = "text", doc_id: str = "doc_id", limit: int = LIMIT, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row; the model goes to executors with the code."""
     prepare(docs.sparkSession)
     with open(model_path, "rb") as f:
         model = f.read()
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
-    return d.mapInArrow(_counts(model_path, model, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    rows = with_row_id(docs, OWN + "row")
+    d = rows.select(F.col(OWN + "row").alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
+    long = F.octet_length("text") > chunk_bytes
+    short = d.filter(F.col("text").isNull() | ~long).select("doc_id", "text").mapInArrow(_counts(model_path, model, limit), _OUT)
+    # the mark of a space and a space are the same symbol; a chunk has the bytes of a character that it begins
+    plain = d.filter(long).withColumn("n_bytes", F.octet_length("text").cast("long")).withColumn("text", F.replace(F.col("text").cast("string"), F.lit(SPACE), F.lit(" ")).cast("binary"))
+    chunks = plain.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.octet_length("text").cast("long") - 1, F.lit(chunk_bytes).cast("long"))))
+    chunks = chunks.select("row", "doc_id", "n_bytes", "at", F.expr(f"substring(text, CAST(at AS INT) + 1, {chunk_bytes + 3})").alias("piece"))
+    maps = chunks.repartition("row", "at").mapInArrow(_maps(model_path, model, chunk_bytes), _MAP)
+    whole = maps.repartition("row").sortWithinPartitions("row", "at").mapInArrow(_composed(model_path, model, limit), _OUT)
+    return short.union(whole)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
