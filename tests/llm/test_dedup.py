@@ -227,11 +227,40 @@ def test_runs_are_sorted_and_compacted(spark, tmp_path):
     for i in range(5):
         index.add(spark.range(100).selectExpr(f"(id * 37 + {i}) % 50 AS print", "id AS row", "CAST(id AS INT) AS at"))
     assert [len(x) for x in index.levels] == [1, 0, 1] and index.postings().count() == 500
-    assert sum(1 for _ in (tmp_path / "runs").iterdir()) == 2
-    for path in index.runs():
-        for f in spark.read.parquet(path).inputFiles():
-            p = [r["print"] for r in spark.read.parquet(f).coalesce(1).collect()]
-            assert p == sorted(p)
+    assert sorted(p.name.split("-")[0] for p in (tmp_path / "runs").iterdir() if not p.name.startswith(".")) == ["level", "level", "manifest"]
+    for name in index.runs():
+        for part in ("postings", "prints"):
+            for f in spark.read.parquet(f"{tmp_path}/runs/{name}/{part}").inputFiles():
+                p = [r["print"] for r in spark.read.parquet(f).coalesce(1).collect()]
+                assert p == sorted(p)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = index.prints(index.runs()[0]).join(index.prints(index.runs()[1]), "print", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan  # runs meet as they lie
+
+
+def test_a_kept_index_judges_later_batches(spark, some_docs, no_docs, tmp_path):
+    rows = [tuple(r) for r in some_docs.select("doc_id", "text").collect()]
+    rows = [(i, t) for i, t in rows if t]
+    days = [rows[:70], rows[70:120], [(10**6, rows[3][1]), (10**6 + 1, rows[80][1] + " and " + rows[5][1]), (10**6 + 2, "new words")]]
+    folder, seen = str(tmp_path / "kept"), []
+    for n, day in enumerate(days):
+        spark.createDataFrame(day, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / f"day{n}"))
+        index = substring.RunIndex(spark, folder)  # as another session would open it
+        for name in index.runs():
+            spark.sql(f"DROP TABLE IF EXISTS {index._table(name)}")
+        got = index.add_documents(spark.read.parquet(str(tmp_path / f"day{n}"))).collect()
+        seen += day
+        want = judged_by_force(seen, 35)
+        have = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got)
+        ids = {i for i, _ in day}
+        assert have == collections.Counter({k: v for k, v in want.items() if k[0] in ids})
+    assert {r["n_removed"] == r["n_words"] for r in got if r["doc_id"] == 10**6} == {True}
+    assert substring.RunIndex(spark, folder).add_documents(no_docs).count() == 0
+    assert len(substring.RunIndex(spark, folder).batches) == 4
 
 
 def test_window_hashes_depend_on_words_alone():

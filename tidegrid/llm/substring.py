@@ -2,16 +2,22 @@
 
 Every window of `window` words holds a smallest short print (the hash of `gram` words, leftmost on a
 tie); equal windows hold the same one at the same offset. These prints, about one for 14 words, are
-the index: immutable runs of (print, row, at), each sorted by print, one for each batch of
-documents. A batch is merge-joined with the runs; `fanout` runs of a level are compacted to one of
-the next. Only windows whose smallest print has two postings can repeat. Those windows are verified:
-the hashes of all their words, 95 bits of two polynomials, are compared, and both places are marked.
-Marked windows cover the words that go. A batch's own windows and all earlier ones are judged on the
-texts as they came in, so the order of batches does not matter.
+the index: immutable runs, one for each batch of documents. A run has its postings (print, row, at),
+sorted by print, and the table of its distinct prints, bucketed and sorted by print: a new batch's table
+is merge-joined with those of earlier runs, without an exchange of either. `fanout` runs of a level are
+compacted to one of the next. Only windows whose smallest print has two postings can repeat. Those
+windows are verified: the hashes of all their words, 95 bits of two polynomials, are compared, and both
+places are marked. Marked windows cover the words that go.
+
+A RunIndex is kept in a folder, with a manifest that names its runs, and is opened again by any later
+session: `add_documents` judges a new batch against itself and all earlier ones, whose texts are kept
+beside the runs. `substring_dedup` judges a whole table at once: all its batches are in the index before
+windows are verified, on the texts as they came in, so the order of batches does not matter.
 
 Skew: postings are counted with map-side combine and joined on a side that can be split; a task sends
 each distinct window at most once and marks further places itself; copies of a whole text send their
-windows once. Runs are Parquet tables in the shared checkpoint folder and outlive executors.
+windows once. Runs are Parquet tables in a shared folder and outlive executors; a run is in the
+manifest only when it is whole.
 
 Defined results: null and empty texts have no words; rows that repeat lose all their words if they
 have `window` words or more; shorter texts stay whole; an empty table gives no rows. Other columns
@@ -21,6 +27,7 @@ are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -190,68 +197,164 @@ def _judged(window: int):
 
 
 _POSTING = "print long, row long, at int"
+_TEXT = "row long, doc_id long, text binary"
+#: A batch's rows are numbered from its number times this on.
+_BATCH_ROWS = 1 << 53
 
 
 class RunIndex:
-    """Immutable runs of postings, sorted by print, in levels of a folder."""
+    """Immutable runs of postings, sorted by print, in levels of a folder; opened again if the folder has a manifest."""
 
     def __init__(self, spark: SparkSession, folder: str, fanout: int = 2):
         self.spark, self.folder, self.fanout = spark, folder, fanout
         self.levels: list[list[str]] = [[]]
+        self.buckets: dict[str, int] = {}
+        self.batches: list[str] = []
+        self.version = 0
+        known = self._files("manifest-*.json")
+        if known:
+            self.version = max(int(name[9:-5]) for name in known)
+            kept = json.loads(spark.read.text(f"{folder}/manifest-{self.version}.json", wholetext=True).first()[0])
+            self.levels, self.buckets, self.batches = kept["levels"], kept["buckets"], kept["batches"]
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _files(self, pattern: str) -> list[str]:
+        path, fs = self._path(pattern)
+        return [x.getPath().getName() for x in fs.globStatus(path) or []]
+
+    def _delete(self, names: list[str]) -> None:
+        for name in names:
+            path, fs = self._path(name)
+            fs.delete(path, True)
+
+    def _save(self) -> None:
+        """The state as a new manifest, which is there whole or not at all; then older ones go."""
+        old = self._files("manifest-*.json")
+        part, fs = self._path(f"_part-{uuid.uuid4().hex}")
+        out = fs.create(part, True)
+        out.write(bytearray(json.dumps({"levels": self.levels, "buckets": self.buckets, "batches": self.batches}).encode()))
+        out.close()
+        self.version += 1
+        fs.rename(part, self._path(f"manifest-{self.version}.json")[0])
+        self._delete(old)
 
     def _write(self, postings: DataFrame, level: int) -> str:
-        path = f"{self.folder}/level-{level}-{uuid.uuid4().hex}"
+        name = f"level-{level}-{uuid.uuid4().hex}"
         if level:  # merged runs are fewer, longer files; the postings of a frequent print are shared out among all of them
             postings = postings.repartition("print", "row", "at")
-        postings.sortWithinPartitions("print").write.option("compression", "zstd").parquet(path)
-        return path
+        postings.sortWithinPartitions("print").write.option("compression", "zstd").parquet(f"{self.folder}/{name}/postings")
+        self.buckets[name] = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        distinct = self._postings([name]).groupBy("print").agg(F.count(F.lit(1)).alias("n"))
+        where = distinct.write.format("parquet").bucketBy(self.buckets[name], "print").sortBy("print").option("compression", "zstd").option("path", f"{self.folder}/{name}/prints")
+        where.saveAsTable(self._table(name))
+        return name
+
+    def _table(self, name: str) -> str:
+        return "tidegrid_" + name.replace("-", "_")
+
+    def prints(self, name: str) -> DataFrame:
+        """(print, n) of a run, bucketed and sorted by print."""
+        if not self.spark.catalog.tableExists(self._table(name)):  # written by an earlier session
+            place = f"{self.folder}/{name}/prints".replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {self._table(name)} (print BIGINT, n BIGINT) USING parquet CLUSTERED BY (print) SORTED BY (print) INTO {self.buckets[name]} BUCKETS LOCATION '{place}'"
+            )
+        return self.spark.table(self._table(name))
 
     def runs(self) -> list[str]:
         return [p for level in self.levels for p in level]
 
+    def _postings(self, names: list[str]) -> DataFrame:
+        return self.spark.read.schema(_POSTING).parquet(*[f"{self.folder}/{name}/postings" for name in names])
+
     def postings(self) -> DataFrame | None:
-        paths = self.runs()
-        return self.spark.read.schema(_POSTING).parquet(*paths) if paths else None
+        return self._postings(self.runs()) if self.runs() else None
 
     def add(self, postings: DataFrame) -> DataFrame:
         """Write a batch's postings as a new run; returns its prints that repeat, in it or in earlier runs.
 
-        The new run is merge-joined with all runs there are. Full levels are compacted afterwards, and
-        only when the longer run is written do its parts go.
+        The new run is merge-joined with each run there is. Full levels are compacted afterwards, and
+        only when the longer run is in the manifest do its parts go.
         """
-        history = self.postings()
-        self.levels[0].append(self._write(postings, 0))
-        new = self.spark.read.schema(_POSTING).parquet(self.levels[0][-1]).groupBy("print").agg(F.count(F.lit(1)).alias("n"))
-        if history is None:
-            met = new.filter("n > 1").select("print")
-        else:
-            seen = history.select("print").distinct().withColumn("seen", F.lit(True))
-            met = new.join(seen, "print", "left").filter("n > 1 OR seen").select("print")
-        met = met.checkpoint()
-        level = 0
+        earlier = self.runs()
+        name = self._write(postings, 0)
+        new = self.prints(name)
+        met = [new.filter("n > 1").select("print"), *[new.join(self.prints(r), "print", "left_semi").select("print") for r in earlier]]
+        met = reduce(DataFrame.union, met).distinct().checkpoint()
+        self.levels[0].append(name)
+        self._save()
+        level, gone = 0, []
         while len(self.levels[level]) >= self.fanout:
             old = self.levels[level]
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._write(self.spark.read.schema(_POSTING).parquet(*old), level + 1))
+            self.levels[level + 1].append(self._write(self._postings(old), level + 1))
             self.levels[level] = []
-            self._delete(old)
+            gone += old
             level += 1
+        if gone:
+            self._save()
+            self._drop(gone)
         return met
 
-    def _delete(self, paths: list[str]) -> None:
-        for path in paths:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+    def _drop(self, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
+            self.buckets.pop(name, None)
+        self._delete(names)
 
     def drop(self) -> None:
-        self._delete(self.runs())
-        self.levels = [[]]
+        self._drop(self.runs())
+        self._delete([*self.batches, *self._files("manifest-*.json")])
+        self.levels, self.batches = [[]], []
 
     def places(self, prints: DataFrame) -> DataFrame:
         """(row, ats): where some prints stand."""
         return self.postings().join(prints, "print").groupBy("row").agg(F.collect_list("at").alias("ats"))
 
+    def add_documents(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+        """Judge a new batch against itself and all earlier ones, and put it into the index: as substring_dedup returns it.
+
+        What earlier batches were told stays: of a passage that comes again the first batch keeps its
+        words. The texts of rows with a repeated print are read again from the folder.
+        """
+        prepare(self.spark)
+        if len(self.batches) >= (1 << 10) - 1:
+            raise ValueError("an index holds 1023 batches")
+        name, first = f"texts-{uuid.uuid4().hex}", len(self.batches) * _BATCH_ROWS
+        raw = F.col(text).cast("string").cast("binary")
+        numbered = docs.select((F.monotonically_increasing_id() + F.lit(first)).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), raw.alias("text"))
+        numbered.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        batch = self.spark.read.schema(_TEXT).parquet(f"{self.folder}/{name}")
+        self.batches.append(name)  # in the manifest with its run
+        met = self.add(batch.select("row", "text").mapInArrow(_postings(window, gram), _POSTING))
+        every = self.spark.read.schema(_TEXT).parquet(*[f"{self.folder}/{x}" for x in self.batches])
+        repeated = self.places(met).checkpoint()
+        some = every.join(repeated.select("row"), "row", "left_semi")
+        return _decided(some, batch, repeated, window, gram)
+
+
+def _decided(some: DataFrame, docs: DataFrame, repeated: DataFrame, window: int, gram: int) -> DataFrame:
+    """Of every row of docs: what goes, judged by the windows of `some` rows at the places `repeated`."""
+    # whole copies, by 128 bits: the first row of a text speaks for all
+    whole = some.select("row", F.unhex(F.md5("text")).alias("same")).filter("same IS NOT NULL").checkpoint()
+    copies = whole.groupBy("same").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("same", "first").checkpoint()
+    copied = whole.join(copies, "same").select("row", (F.col("row") == F.col("first")).alias("speaks"))
+    states = repeated.join(copied, "row", "full").select("row", "ats", F.coalesce("speaks", F.lit(True)).alias("speaks"), F.col("speaks").isNotNull().alias("copied")).checkpoint()
+    speakers = states.filter("speaks AND ats IS NOT NULL").select("row", "ats", "copied")
+    # doc_id comes along so that both joins with texts read one exchange
+    found = some.join(speakers, "row").select("row", "doc_id", "text", "copied", "ats").mapInArrow(_windows(window, gram), "h1 long, tail long, row long")
+    same = Window.partitionBy("h1", F.shiftrightunsigned("tail", 33))
+    meet = found.withColumn("n", F.count(F.lit(1)).over(same)).filter("row IS NOT NULL AND (n > 1 OR shiftrightunsigned(tail, 32) & 1 = 1)")
+    marks = meet.groupBy("row").agg(F.collect_list(F.col("tail").bitwiseAND((1 << 32) - 1).cast("int")).alias("marks"))
+    told = states.filter("copied").select("row", "copied")
+    marks = marks.join(told, "row", "full").select("row", F.coalesce("copied", F.lit(False)).alias("copied"), "marks")
+    out = docs.join(marks, "row", "left").select("row", "doc_id", "text", "copied", "marks")
+    return out.mapInArrow(_judged(window), "row long, doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start: long, stop: long>>")
+
 
 def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None, window: int = WINDOW, gram: int = GRAM, batches: int = 2, fanout: int = 2) -> DataFrame:
     """row, doc_id, n_words, n_removed, kept_sha256 and the removed word spans of every row.
@@ -271,23 +374,9 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     for i in range(batches):
         batch = d.filter(F.pmod(F.xxhash64("row"), F.lit(batches)) == i) if batches > 1 else d
         met.append(index.add(batch.select("row", "text").mapInArrow(_postings(window, gram), _POSTING)))
-    repeated = index.places(reduce(DataFrame.union, met).distinct().checkpoint())
-    # whole copies, by 128 bits: the first row of a text speaks for all
-    whole = d.select("row", F.unhex(F.md5("text")).alias("same")).filter("same IS NOT NULL").checkpoint()
-    copies = whole.groupBy("same").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("same", "first").checkpoint()
-    copied = whole.join(copies, "same").select("row", (F.col("row") == F.col("first")).alias("speaks"))
-    states = repeated.join(copied, "row", "full").select("row", "ats", F.coalesce("speaks", F.lit(True)).alias("speaks"), F.col("speaks").isNotNull().alias("copied")).checkpoint()
-    index.drop()
-    speakers = states.filter("speaks AND ats IS NOT NULL").select("row", "ats", "copied")
-    # doc_id comes along so that both joins with texts read one exchange
-    found = d.join(speakers, "row").select("row", "doc_id", "text", "copied", "ats").mapInArrow(_windows(window, gram), "h1 long, tail long, row long")
-    same = Window.partitionBy("h1", F.shiftrightunsigned("tail", 33))
-    meet = found.withColumn("n", F.count(F.lit(1)).over(same)).filter("row IS NOT NULL AND (n > 1 OR shiftrightunsigned(tail, 32) & 1 = 1)")
-    marks = meet.groupBy("row").agg(F.collect_list(F.col("tail").bitwiseAND((1 << 32) - 1).cast("int")).alias("marks"))
-    told = states.filter("copied").select("row", "copied")
-    marks = marks.join(told, "row", "full").select("row", F.coalesce("copied", F.lit(False)).alias("copied"), "marks")
-    out = d.join(marks, "row", "left").select("row", "doc_id", "text", "copied", "marks")
-    return out.mapInArrow(_judged(window), "row long, doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start: long, stop: long>>")
+    out = _decided(d, d, index.places(reduce(DataFrame.union, met).distinct().checkpoint()), window, gram)
+    index.drop()  # what is still to run reads checkpoints
+    return out
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
