@@ -332,11 +332,18 @@ def _models(model: DataFrame) -> dict[Part, SortedModel]:
 
 
 def _medians(df: DataFrame, value: str, name: str) -> DataFrame:
-    """(lang, name): the exact lower median of integers, from their counts by language."""
-    counts = df.groupBy("lang", value).agg(F.count(F.lit(1)).alias("n"))
+    """(lang, name): the exact lower median of integers, from their counts by language.
+
+    Counts are first summed by 1000 values, then only those of the middle sum are looked at, so a
+    task meets few rows of a language however many values there are.
+    """
+    counts = df.groupBy("lang", value).agg(F.count(F.lit(1)).alias("n")).withColumn("coarse", F.floor(F.col(value) / 1000)).checkpoint()
     by = Window.partitionBy("lang")
-    counts = counts.withColumn("upto", F.sum("n").over(by.orderBy(value))).withColumn("all", F.sum("n").over(by))
-    return counts.filter(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg(F.min(value).alias(name))
+    sums = counts.groupBy("lang", "coarse").agg(F.sum("n").alias("n"))
+    sums = sums.withColumn("upto", F.sum("n").over(by.orderBy("coarse"))).withColumn("all", F.sum("n").over(by)).filter(F.col("upto") * 2 >= F.col("all"))
+    middle = sums.groupBy("lang").agg(F.min(F.struct("coarse", (F.col("upto") - F.col("n")).alias("before"), "all")).alias("m")).select("lang", "m.*")
+    fine = _same(counts, middle, ["lang", "coarse"]).withColumn("upto", F.col("before") + F.sum("n").over(by.orderBy(value)))
+    return fine.filter(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg(F.min(value).alias(name))
 
 
 def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", row: str | None = None, width: float | None = None, model_rows: int = MODEL_ROWS) -> DataFrame:
