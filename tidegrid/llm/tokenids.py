@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import OWN, prepare, read, running_total, with_row_id
+from tidegrid.llm.common import OWN, prepare, read, running_total, sliced, with_row_id
 
 END = 1
 MOST_BITS = 18
@@ -430,12 +430,16 @@ _CODED = "row long, doc_id long, n_ids long, n_bits long, marks array<long>, pay
 
 
 def _coded(lengths: dict[int, int], stride: int):
+    tables: list[np.ndarray] = []  # made in the worker
+
     def offsets(ends: np.ndarray) -> np.ndarray:
         return np.concatenate((np.zeros(1, np.int32), ends.astype(np.int32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, bits = canonical(lengths)
         names = [x.split()[0] for x in _CODED.split(", ")]
+        if not tables:
+            tables.extend(canonical(lengths))
+        codes, bits = tables
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
@@ -489,6 +493,21 @@ def _blocked(docs: int, size: int):
     return run
 
 
+def _coded_blocks(lengths: dict[int, int], stride: int, docs: int, size: int):
+    """Blocks of staged ids of one part, in one Python worker."""
+    code, block = _coded(lengths, stride), _blocked(docs, size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def coded() -> Iterator[pa.RecordBatch]:
+            for batch in sliced(batches, 64):
+                for out in code(iter([batch])):
+                    yield out.append_column("part", batch.column(3))
+
+        yield from block(coded())
+
+    return run
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, text: str = "text", doc_id: str = "doc_id", row: str | None = None, end: int = END, stride: int = STRIDE) -> None:
     """Tokenize docs and write header and blocks under path, in ascending order of doc_id."""
     spark = docs.sparkSession
@@ -511,8 +530,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, text: str
     # sorted as staged numbers: to find the ranges' bounds, ids are only read once more, not coded twice
     order = [F.col("doc_id").asc_nulls_first(), F.col("row")]
     ids = ids.repartitionByRange(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
-    coded = ids.mapInArrow(_coded(lengths, stride), _CODED).withColumn("part", F.spark_partition_id())
-    coded.mapInArrow(_blocked(BLOCK_DOCS, BLOCK_BYTES), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
+    ids.select("row", "doc_id", "ids", F.spark_partition_id().alias("part")).mapInArrow(_coded_blocks(lengths, stride, BLOCK_DOCS, BLOCK_BYTES), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
     where = spark._jvm.org.apache.hadoop.fs.Path(staged)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
