@@ -243,13 +243,26 @@ class RunIndex:
 
     def _write(self, postings: DataFrame, level: int) -> str:
         name = f"level-{level}-{uuid.uuid4().hex}"
-        if level:  # merged runs are fewer, longer files; the postings of a frequent print are shared out among all of them
-            postings = postings.repartition("print", "row", "at")
         postings.sortWithinPartitions("print").write.option("compression", "zstd").parquet(f"{self.folder}/{name}/postings")
+        self._bucketed(name, self._postings([name]).groupBy("print").agg(F.count(F.lit(1)).alias("n")))
+        return name
+
+    def _bucketed(self, name: str, distinct: DataFrame) -> None:
         self.buckets[name] = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        distinct = self._postings([name]).groupBy("print").agg(F.count(F.lit(1)).alias("n"))
-        where = distinct.write.format("parquet").bucketBy(self.buckets[name], "print").sortBy("print").option("compression", "zstd").option("path", f"{self.folder}/{name}/prints")
-        where.saveAsTable(self._table(name))
+        out = distinct.write.format("parquet").bucketBy(self.buckets[name], "print").sortBy("print").option("compression", "zstd")
+        out.option("path", f"{self.folder}/{name}/prints").saveAsTable(self._table(name))
+
+    def _compacted(self, names: list[str], level: int) -> str:
+        """One run of several: postings sorted anew in fewer, longer files, prints merged as they lie."""
+        name = f"level-{level}-{uuid.uuid4().hex}"
+        # files are read by size, several to a task: no exchange, and a frequent print stays where it was
+        self._postings(names).sortWithinPartitions("print").write.option("compression", "zstd").parquet(f"{self.folder}/{name}/postings")
+
+        def both(a: DataFrame, b: DataFrame) -> DataFrame:
+            b = b.withColumnRenamed("n", "m")
+            return a.join(b, "print", "full").select("print", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
+
+        self._bucketed(name, reduce(both, [self.prints(x) for x in names]))
         return name
 
     def _table(self, name: str) -> str:
@@ -291,7 +304,7 @@ class RunIndex:
             old = self.levels[level]
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._write(self._postings(old), level + 1))
+            self.levels[level + 1].append(self._compacted(old, level + 1))
             self.levels[level] = []
             gone += old
             level += 1
