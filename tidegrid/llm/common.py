@@ -61,6 +61,17 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(i, rows)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df as a compressed table in a shared folder, read back; remove() it when nothing lazy reads it any more."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def n_words(text: Column) -> Column:
     """Words of a text; null has none. JVM-side."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -53,7 +53,7 @@ _BIN = 10_000
 _FAR = 100
 _CHUNK = 1 << 18
 #: n-grams of one language and fold that a task holds before it sums them.
-_HELD = 1 << 20
+_HELD = 1 << 18
 
 _SPACES = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -362,6 +362,7 @@ def quality(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
         # model_rows rows at most, of 8 + 4 bytes: the check above bounds what driver and executors hold
         shared = spark.sparkContext.broadcast(_models(model))
         scored = d.mapInArrow(_scored(shared), _BASE).checkpoint()
+        shared.destroy()  # workers let go of it
     else:
         sums = _joined(d.mapInArrow(_own_grams, "row long, lang string, fold int, gram long, m long"), model)
         scored = d.mapInArrow(_scored(None), _BASE).join(sums, "row", "left").withColumn("logp", F.coalesce("sum", F.lit(0.0))).drop("sum").checkpoint()
