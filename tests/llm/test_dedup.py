@@ -137,8 +137,8 @@ def test_components_of_chains_stars_and_loops(spark):
     edges = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in edges]
     rng.shuffle(edges)
     df = spark.createDataFrame(edges, "u long, v long").repartition(7)
-    for chunk in (1, 1_000_000):
-        got = {r["node"]: r["root"] for r in graph.components(df, chunk).collect()}
+    for chunk, few in ((1, 0), (1_000_000, 0), (1, graph.FEW)):  # in rounds, and in one task
+        got = {r["node"]: r["root"] for r in graph.components(df, chunk, few).collect()}
         want = {k: r for k, r in classes({x for e in edges for x in e}, edges).items() if k != r}
         assert got == want
     assert graph.components(df.filter("u < 0")).count() == 0

@@ -1,6 +1,7 @@
 """Connected components of an edge list, without collecting it.
 
-Each partition first contracts its own edges by union-find (at most `chunk` edges at a time), then
+Each partition first contracts its own edges by union-find (at most `chunk` edges at a time). If few
+edges are left, one task ends the work; else
 large-star and small-star rounds (Kiveris et al., 2014) alternate until nothing changes. Every
 round is checkpointed, so a lost executor costs one round. Rounds grow with the logarithm of the
 largest component. A node's neighbours are dealt to as many shares as there are tasks; a share has
@@ -17,9 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _EDGE = "u long, v long"
+#: A forest of so few edges, counted first, is one task's: rounds over all partitions would cost more.
+FEW = 10_000
 
 
 def _contract(chunk: int):
+    """The edges of a forest with the components of each `chunk` edges of a partition; every edge leads to a root, the smallest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
         seen = 0
@@ -43,7 +48,7 @@ def _contract(chunk: int):
                     parent[max(a, b)] = min(a, b)
                     parent.setdefault(min(a, b), min(a, b))
             seen += batch.num_rows
-            if seen >= chunk:
+            if seen >= chunk and parent:
                 yield out()
                 parent.clear()
                 seen = 0
@@ -65,9 +70,11 @@ def _least(shared: DataFrame) -> DataFrame:
     return own.withColumn("m", F.min("m").over(Window.partitionBy("u")))
 
 
-def components(edges: DataFrame, chunk: int = 1_000_000) -> DataFrame:
+def components(edges: DataFrame, chunk: int = 1_000_000, few: int = FEW) -> DataFrame:
     """(node, root) of every node of edges (u, v) that isn't its component's smallest; root is the smallest."""
     e = edges.select("u", "v").filter("u <> v").mapInArrow(_contract(chunk), _EDGE).distinct().checkpoint()
+    if e.count() <= few:
+        return e.coalesce(1).mapInArrow(_contract(few + 1), _EDGE).select(F.col("u").alias("node"), F.col("v").alias("root")).checkpoint()
     before = None
     while True:
         # large-star: what is above a node hangs on the least of the node's neighbourhood
