@@ -196,6 +196,33 @@ def test_polygons_touch_cells(spark):
     assert extract.touches(triangle, (1, 1, 2, 2)) and extract.touches(triangle, (-5, -5, 9, 9)) and not extract.touches(triangle, (3, 3, 5, 5))
 
 
+def test_polygons_on_cells_off_the_whole_steps(spark):
+    rows = [(D(2020, 1, 1), 0.125 + 0.25 * i, 0.125 + 0.25 * j, float(10 * i + j)) for i in range(4) for j in range(4)]
+    df = spark.createDataFrame(rows, "time date, lat double, lon double, sst double")
+    boxes = [(0.05, 0.05, 0.2, 0.2), (0.3, 0.55, 0.45, 0.7), (0.2, 0.2, 0.3, 0.3), (-5, -5, -4, -4)]
+    shapes = spark.createDataFrame([(i, D(2020, 1, 1), bytearray(extract.box_wkb(*b))) for i, b in enumerate(boxes)], "row_id int, time date, geometry binary")
+    for origin in (None, (0.625, -0.375)):
+        got = {r["row_id"]: r["sst"] for r in extract.extract_polygons(shapes, df, ["sst"], 0.25, origin=origin).collect()}
+        assert got == {0: 0.0, 1: 21.0, 2: pytest.approx((0 + 1 + 10 + 11) / 4), 3: None}
+
+
+def test_plateaus_are_extrema():
+    field = np.zeros((9, 9))
+    field[4, 4] = field[4, 5] = 5  # two equal peaks
+    assert fronts.extrema(field, 5)[4, 4:6].all() and fronts.extrema(field, 3)[4, 4:6].all()
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        field = rng.integers(0, 4, (8, 9)).astype(float)
+        for size in (3, 5):
+            r = size // 2
+            want = np.zeros(field.shape, bool)
+            for i in range(r, 8 - r):
+                for j in range(r, 9 - r):
+                    w = field[i - r : i + r + 1, j - r : j + r + 1]
+                    want[i, j] = field[i, j] in (w.max(), w.min())
+            assert np.array_equal(fronts.extrema(field, size), want)
+
+
 def test_text_times(spark):
     df = spark.createDataFrame([("2020-01-01 10:00:00",), ("junk",)], "t string")
     assert [r[0] for r in df.select(parse_time(F.col("t"), "string")).collect()] == [D(2020, 1, 1), None]

@@ -128,13 +128,17 @@ def touches(rings: list[Ring], box: tuple[float, float, float, float]) -> bool:
     return _inside(box[0], box[1], rings) or (box[0] <= rings[0][0][0] <= box[2] and box[1] <= rings[0][0][1] <= box[3])
 
 
-def extract_polygons(shapes: DataFrame, cube: DataFrame, variables: Sequence[str], dx: float, dy: float | None = None, key: str = "row_id", std: bool = False, time: str | None = "time") -> DataFrame:
+def extract_polygons(shapes: DataFrame, cube: DataFrame, variables: Sequence[str], dx: float, dy: float | None = None, key: str = "row_id", std: bool = False, time: str | None = "time", origin: tuple[float, float] | None = None) -> DataFrame:
     """Each polygon (WKB column geometry) with the means of the cells of its day that it touches; std adds deviations.
 
     The boxes of polygons are cut to rows of cells: an equi-join on day and cell follows, so no task
-    sees more than the cells a polygon's box covers.
+    sees more than the cells a polygon's box covers. origin is the centre (lat, lon) of any cell;
+    without it the least coordinates of the cube are.
     """
     dy = dx if dy is None else dy
+    if origin is None:
+        origin = cube.agg(F.min("lat").cast("double"), F.min("lon").cast("double")).first()
+    y0, x0 = (v or 0.0 for v in origin)
     by = [time] if time else []
 
     def cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,6 +147,7 @@ def extract_polygons(shapes: DataFrame, cube: DataFrame, variables: Sequence[str
             for k, data in zip(pdf[key], pdf["geometry"], strict=True):
                 found = set()
                 for rings in wkb_polygons(bytes(data)):
+                    rings = [[(x - x0, y - y0) for x, y in ring] for ring in rings]  # cell (0, 0) is centred on (0, 0)
                     xs, ys = [p[0] for p in rings[0]], [p[1] for p in rings[0]]
                     for i in range(int((min(ys) - dy / 2) // dy), int((max(ys) + dy / 2) // dy) + 2):
                         for j in range(int((min(xs) - dx / 2) // dx), int((max(xs) + dx / 2) // dx) + 2):
@@ -153,7 +158,7 @@ def extract_polygons(shapes: DataFrame, cube: DataFrame, variables: Sequence[str
 
     kinds = dict(shapes.dtypes)
     touched = shapes.filter("geometry IS NOT NULL").select(key, "geometry").mapInPandas(cells, f"{key} {kinds[key]}, __i long, __j long")
-    grid = cube.select(*[F.to_date(t).alias("__day") for t in by], F.round(F.col("lat") / dy).cast("long").alias("__i"), F.round(F.col("lon") / dx).cast("long").alias("__j"), *variables)
+    grid = cube.select(*[F.to_date(t).alias("__day") for t in by], F.round((F.col("lat") - y0) / dy).cast("long").alias("__i"), F.round((F.col("lon") - x0) / dx).cast("long").alias("__j"), *variables)
     wanted = touched.join(shapes.select(key, *[F.to_date(t).alias("__day") for t in by]), key)
     met = wanted.join(grid, ["__i", "__j", *["__day"] * len(by)])
     stats = [F.avg(v).alias(v) for v in variables] + ([F.stddev_pop(v).alias(f"{v}_std") for v in variables] if std else [])

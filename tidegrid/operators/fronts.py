@@ -24,14 +24,14 @@ def _windows(field: np.ndarray, size: int) -> np.ndarray:
 
 
 def extrema(field: np.ndarray, size: int) -> np.ndarray:
-    """Cells that are the largest or smallest of their neighbourhood and not equal to any other of it; none at the border."""
+    """Cells that are the largest or smallest of their neighbourhood, alone or with others; none at the border."""
     out = np.zeros(field.shape, bool)
     r = size // 2
     if min(field.shape) < size:
         return out
-    w = np.sort(_windows(field, size), axis=-1)
+    w = _windows(field, size)
     centre = field[r:-r, r:-r]
-    out[r:-r, r:-r] = ((centre == w[..., -1]) & (w[..., -2] < centre)) | ((centre == w[..., 0]) & (w[..., 1] > centre))
+    out[r:-r, r:-r] = (centre == w.max(axis=-1)) | (centre == w.min(axis=-1))
     return out
 
 

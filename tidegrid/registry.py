@@ -338,26 +338,25 @@ def compile_outer_merge(spark, d):
 
 
 @query(
-    f"WITH {CUBE_SQL}, g AS (SELECT lat, lon, time, v1 FROM cube WHERE day(time) IN (1, 15)), p AS (SELECT o_orderkey AS row_id, CAST(o_orderdate AS DATE) AS at, CAST(o_custkey % 10 AS DOUBLE) AS lat, CAST(o_custkey // 10 % 10 AS DOUBLE) AS lon FROM orders), "
+    f"WITH {CUBE_SQL}, g AS (SELECT lat, lon, time, v1 FROM cube), p AS (SELECT o_orderkey AS row_id, CAST(o_orderdate AS DATE) AS at, CAST(o_custkey % 10 AS DOUBLE) AS lat, CAST(o_custkey // 10 % 10 AS DOUBLE) AS lon FROM orders), "
     "b AS (SELECT p.*, g.time, g.v1 FROM p ASOF LEFT JOIN g ON p.lat = g.lat AND p.lon = g.lon AND p.at >= g.time), a AS (SELECT p.row_id, g.time, g.v1 FROM p ASOF LEFT JOIN g ON p.lat = g.lat AND p.lon = g.lon AND p.at <= g.time) "
     "SELECT b.row_id, CASE WHEN a.time IS NOT NULL AND (b.time IS NULL OR a.time - b.at <= b.at - b.time) THEN a.time ELSE b.time END AS matched, CASE WHEN a.time IS NOT NULL AND (b.time IS NULL OR a.time - b.at <= b.at - b.time) THEN a.v1 ELSE b.v1 END AS v1 FROM b JOIN a USING (row_id)"
 )
 def asof_nearest(spark, d):
     p = read(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"), F.to_date("o_orderdate").alias("at"), (F.col("o_custkey") % 10).cast("double").alias("lat"), (F.expr("o_custkey div 10") % 10).cast("double").alias("lon"))
-    g = cube(spark, d).filter(F.dayofmonth("time").isin(1, 15))
-    out = join.nearest_in_time(p, g, ["lat", "lon"], "at", "time", ["v1"])
+    out = join.nearest_in_time(p, cube(spark, d), ["lat", "lon"], "at", "time", ["v1"])
     return out.select("row_id", F.to_date("matched_time").alias("matched"), "v1")
 
 
 @query(
-    f"WITH {CUBE_SQL}, {POINTS_SQL}, g AS (SELECT * FROM cube WHERE day(time) = 10 AND lat % 2 = 0 AND lon % 3 = 0), e AS (SELECT min(time) AS a, max(time) AS b FROM g), t AS (SELECT DISTINCT time FROM g), "
+    f"WITH {CUBE_SQL}, {POINTS_SQL}, g AS (SELECT * FROM cube WHERE lat % 2 = 0 AND lon % 3 = 0), e AS (SELECT min(time) AS a, max(time) AS b FROM g), t AS (SELECT DISTINCT time FROM g), "
     "n AS (SELECT p.time AS at, arg_min(t.time, abs(t.time - p.time) * 2 - CASE WHEN t.time > p.time THEN 1 ELSE 0 END) AS time FROM (SELECT DISTINCT time FROM points) p, t GROUP BY 1), "
     "x AS (SELECT p.*, CASE WHEN p.time BETWEEN e.a AND e.b AND p.lat <= 8 THEN n.time END AS gt, CASE WHEN p.lat < 1 THEN 0 WHEN p.lat <= 3 THEN 2 WHEN p.lat <= 5 THEN 4 WHEN p.lat <= 7 THEN 6 ELSE 8 END AS glat, "
     "CASE WHEN p.lon <= 1.5 THEN 0 WHEN p.lon <= 4.5 THEN 3 WHEN p.lon <= 7.5 THEN 6 ELSE 9 END AS glon FROM points p LEFT JOIN n ON n.at = p.time CROSS JOIN e) "
     "SELECT x.row_id, x.time, x.lat, x.lon, g.v1 FROM x LEFT JOIN g ON g.time = x.gt AND g.lat = x.glat AND g.lon = x.glon"
 )
 def extract_points(spark, d):
-    g = cube(spark, d).filter("dayofmonth(time) = 10 AND lat % 2 = 0 AND lon % 3 = 0")
+    g = cube(spark, d).filter("lat % 2 = 0 AND lon % 3 = 0")  # a coarser grid, so that points are not on it
     return extract.extract_points(points(spark, d), g, ["v1"])
 
 
@@ -369,22 +368,23 @@ def month_anomaly(spark, d):
 
 
 @query(
-    "WITH f AS (SELECT o_orderkey AS k, 'f' || o_orderkey AS path, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_custkey % 5 AS INTEGER) AS e FROM orders WHERE o_orderkey % 40 = 0), "
+    "WITH f AS (SELECT o_orderkey AS k, 'f' || o_orderkey AS path, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_custkey % 5 AS INTEGER) AS e FROM orders), "
     "d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem) SELECT d.date, min_by(f.path, {'s': f.s, 'p': f.path}) AS path FROM d LEFT JOIN f ON d.date BETWEEN f.s AND f.e GROUP BY 1"
 )
 def dates_to_files(spark, d):
-    o = read(spark, d, "orders").filter("o_orderkey % 40 = 0")  # a file list, made up of some orders
+    o = read(spark, d, "orders")  # a file list, made up of orders
     f = o.select(F.concat(F.lit("f"), "o_orderkey").alias("path"), F.to_date("o_orderdate").alias("start_date"), F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 5).cast("int")).alias("end_date"))
     return join.covering_file(cube(spark, d).select(F.col("time").alias("date")), f)
 
 
 @query(
-    f"WITH {OBS_SQL}, p AS (SELECT kind, event_id, time FROM obs WHERE event_id % 3 = 0 AND time < TIMESTAMP '2024-01-15'), o AS (SELECT kind, event_id, time FROM obs WHERE event_id % 3 = 1), l AS (SELECT kind, max(time) AS t FROM p GROUP BY 1) "
+    f"WITH {OBS_SQL}, p AS (SELECT kind, event_id, time FROM obs WHERE event_id % 2 = 0 AND time < TIMESTAMP '2024-01-15'), o AS (SELECT kind, event_id, time FROM obs WHERE NOT (event_id % 2 = 0 AND time < TIMESTAMP '2024-01-15')), l AS (SELECT kind, max(time) AS t FROM p GROUP BY 1) "
     "SELECT * FROM p UNION ALL SELECT o.* FROM o LEFT JOIN l USING (kind) WHERE l.t IS NULL OR o.time > l.t"
 )
 def prefer_reprocessed(spark, d):
     o = obs(spark, d).select("kind", "event_id", "time")
-    return join.prefer_first(o.filter("event_id % 3 = 0 AND time < TIMESTAMP '2024-01-15'"), o.filter("event_id % 3 = 1"), ["kind"])
+    early = F.expr("event_id % 2 = 0 AND time < TIMESTAMP '2024-01-15'")  # each event is of one feed
+    return join.prefer_first(o.filter(early), o.filter(~early), ["kind"])
 
 
 @query(f"WITH {POINTS_SQL}, {CUBE_SQL} SELECT row_id, time, lat, lon, round(avg_v, 6) AS v FROM points LEFT JOIN (SELECT lat + 0.25 AS lat, avg(v1) AS avg_v FROM cube GROUP BY 1) USING (lat)")
@@ -409,26 +409,26 @@ def std3x3(spark, d):
     f"WITH {CUBE_SQL}, t AS (SELECT range * 0.25 + 0.125 AS x FROM range(36)), b AS (SELECT x, floor(x) AS lo, floor(x) + 1 AS hi, x - floor(x) AS w FROM t), "
     "g AS (SELECT date_trunc('month', time) AS m, lat, lon, avg(v1) AS v FROM cube GROUP BY 1, 2, 3) "
     "SELECT CAST(p.m AS DATE) AS time, i.x AS lat, j.x AS lon, round((1 - i.w) * ((1 - j.w) * p.v + j.w * q.v) + i.w * ((1 - j.w) * r.v + j.w * s.v), 10) AS v FROM b i, b j, g p, g q, g r, g s "
-    "WHERE p.lat = i.lo AND p.lon = j.lo AND q.m = p.m AND q.lat = i.lo AND q.lon = j.hi AND r.m = p.m AND r.lat = i.hi AND r.lon = j.lo AND s.m = p.m AND s.lat = i.hi AND s.lon = j.hi AND year(p.m) = 1997"
+    "WHERE p.lat = i.lo AND p.lon = j.lo AND q.m = p.m AND q.lat = i.lo AND q.lon = j.hi AND r.m = p.m AND r.lat = i.hi AND r.lon = j.lo AND s.m = p.m AND s.lat = i.hi AND s.lon = j.hi"
 )
 def regrid_bilinear(spark, d):
-    g = cube(spark, d).filter("year(time) = 1997").groupBy(F.to_date(F.date_trunc("month", "time")).alias("time"), "lat", "lon").agg(F.avg("v1").alias("v"))
+    g = cube(spark, d).groupBy(F.to_date(F.date_trunc("month", "time")).alias("time"), "lat", "lon").agg(F.avg("v1").alias("v"))
     out = grid.regrid_linear(g, ["v"], grid.centres(spark, 0, 9, 0.25, "lat"), grid.centres(spark, 0, 9, 0.25, "lon"))
     return out.withColumn("v", F.round("v", 10)).filter("v IS NOT NULL")
 
 
 @query(
-    f"WITH {CUBE_SQL} SELECT time, avg(lat) AS lat, avg(lon) AS lon, round(avg(v1), 6) AS v1, round(stddev_pop(v1), 6) AS v1_std FROM cube WHERE year(time) = 1998 GROUP BY time, floor(lat / 2), floor(lon / 5)"
+    f"WITH {CUBE_SQL} SELECT time, avg(lat) AS lat, avg(lon) AS lon, round(avg(v1), 6) AS v1, round(stddev_pop(v1), 6) AS v1_std FROM cube GROUP BY time, floor(lat / 2), floor(lon / 5)"
 )
 def coarsen(spark, d):
-    return r6(grid.coarsen(cube(spark, d).filter("year(time) = 1998"), ["v1"], 2, 5, 0.0, 0.0, 1.0, 1.0, keys=("time",)), "v1", "v1_std")
+    return r6(grid.coarsen(cube(spark, d), ["v1"], 2, 5, 0.0, 0.0, 1.0, 1.0, keys=("time",)), "v1", "v1_std")
 
 
 @query(
-    f"WITH {CUBE_SQL}, c AS (SELECT * FROM cube WHERE time BETWEEN DATE '1999-01-01' AND DATE '1999-01-20') SELECT t.time, a.lat, o.lon, c.v1 FROM (SELECT DISTINCT time FROM c) t CROSS JOIN (SELECT DISTINCT lat FROM c) a CROSS JOIN (SELECT DISTINCT lon FROM c) o LEFT JOIN c USING (time, lat, lon)"
+    f"WITH {CUBE_SQL}, c AS (SELECT * FROM cube) SELECT t.time, a.lat, o.lon, c.v1 FROM (SELECT DISTINCT time FROM c) t CROSS JOIN (SELECT DISTINCT lat FROM c) a CROSS JOIN (SELECT DISTINCT lon FROM c) o LEFT JOIN c USING (time, lat, lon)"
 )
 def dense_grid(spark, d):
-    return grid.dense(cube(spark, d).filter("time BETWEEN DATE '1999-01-01' AND DATE '1999-01-20'"), ["v1"])
+    return grid.dense(cube(spark, d), ["v1"])
 
 
 @query(
@@ -484,6 +484,18 @@ def extract_boxes(spark, d):
     return r6(extract.extract_polygons(s, cube(spark, d), ["v1"], 1.0).drop("geometry"), "v1")
 
 
+@query(
+    f"WITH {CUBE_SQL}, g AS (SELECT time, lat * 0.25 + 0.125 AS lat, lon * 0.25 + 0.125 AS lon, v1 FROM cube), s AS (SELECT range AS row_id, DATE '1997-01-01' + CAST(range * 7 AS INTEGER) AS time, range % 5 * 0.3 + 0.03 AS x0, range % 4 * 0.4 + 0.06 AS y0, range % 5 * 0.3 + 0.5 AS x1, range % 4 * 0.4 + 0.2 AS y1 FROM range(40)) "
+    "SELECT s.row_id, s.time, round(avg(c.v1), 6) AS v1 FROM s LEFT JOIN g c ON c.time = s.time AND c.lon + 0.125 >= x0 AND c.lon - 0.125 <= x1 AND c.lat + 0.125 >= y0 AND c.lat - 0.125 <= y1 GROUP BY 1, 2"
+)
+def extract_boxes_of_centred_cells(spark, d):
+    """Cells of a quarter degree whose centres are half a step off the whole steps."""
+    shapes = [(i, dt.date(1997, 1, 1) + dt.timedelta(days=7 * i), bytearray(extract.box_wkb(i % 5 * 0.3 + 0.03, i % 4 * 0.4 + 0.06, i % 5 * 0.3 + 0.5, i % 4 * 0.4 + 0.2))) for i in range(40)]
+    s = spark.createDataFrame(shapes, "row_id long, time date, geometry binary")
+    g = cube(spark, d).withColumn("lat", F.col("lat") * 0.25 + 0.125).withColumn("lon", F.col("lon") * 0.25 + 0.125)
+    return r6(extract.extract_polygons(s, g, ["v1"], 0.25).drop("geometry"), "v1")
+
+
 _T = "((datediff('day', DATE '2000-01-01', time) - 0.5) / 36525.0)"
 
 
@@ -558,7 +570,7 @@ def store_roundtrip(spark, d):
     from tidegrid.sources.store import CubeStore
 
     store = CubeStore(spark, f"{checkpoints(spark)}/store-{uuid.uuid4().hex}")
-    c = cube(spark, d).drop("v2").filter("time BETWEEN DATE '1997-01-01' AND DATE '1998-06-30'")
+    c = cube(spark, d).drop("v2")
     store.add_data(c.filter("time < DATE '1998-01-01'"))
     store.add_data(c.filter("time >= DATE '1997-12-01'"))
     out = store.scan(("1997-02-01", "1998-03-31"), columns=["v1"])
