@@ -102,7 +102,8 @@ def with_row_id(df: DataFrame, name: str = OWN + "row") -> DataFrame:
         bits += 1
     leading = F.shiftleft(F.shiftrightunsigned(F.xxhash64(path), 64 - bits), 63 - bits)
     number = F.when(place < 1 << (63 - bits), leading.bitwiseOR(place)).otherwise(F.raise_error(F.lit("a file has too many rows to number")))
-    return df.withColumn(name, number)
+    # never null, and known not to be: else each inner join filters its side, and no two joins share an exchange
+    return df.withColumn(name, F.coalesce(number, F.lit(-1).cast("long")))
 
 
 def in_ranges(df: DataFrame, order: list[Column], rows: int, name: str) -> DataFrame:

@@ -138,7 +138,9 @@ def _windows(window: int, gram: int):
         keep = new | (many & ~known)  # a whole text's copies are known to go: their places need no marks
         h1 = np.where(new, h1, _mixed(row.view(np.uint64) * np.uint64(_M2) + at.astype(np.uint64)))
         tail = (h2 << np.uint64(33)) | (many.astype(np.uint64) << np.uint64(32)) | at.astype(np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)[keep]), pa.array(tail.view(np.int64)[keep]), pa.array(row[keep], mask=known[keep])], names=["h1", "tail", "row"])
+        some = np.flatnonzero(keep)
+        some = some[np.lexsort((row[some], known[some]))]  # equal neighbours compress well in the shuffle
+        return pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)[some]), pa.array(tail.view(np.int64)[some]), pa.array(row[some], mask=known[some])], names=["h1", "tail", "row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
