@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import OWN, prepare, read, with_row_id
-from tidegrid.llm.tokenids import END, loaded
+from tidegrid.llm.tokenids import END, forget, loaded
 
 LENGTHS = (512, 1024, 2048, 4096)
 #: Cost of a bin besides its length, in tokens.
@@ -158,6 +158,7 @@ def _cut(path: str, definition: str, end: int, most: int):
                 length = np.minimum(size[of] - start, most).astype(np.int32)
                 at = pa.array(of)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(nth), pa.array(start), pa.array(length), pa.array(raw, pa.binary())], names=names)
+        forget(path)
 
     return run
 
