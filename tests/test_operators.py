@@ -246,3 +246,78 @@ def test_cleaning(spark):
     assert ocean.clean_steps(df.unionByName(df), ["sst"]).count() == 9
     assert ocean.non_negative("sst")(cube(spark, days, lambda *x: -1)).first()["sst"] == 0
     assert ocean.lyapunov(spark.createDataFrame([(days[0], 0.0, 350.0, 1.0)], "time date, lat double, lon double, fsle_max double")).first()["lon"] == -10.0
+
+
+def test_distance_on_a_grid_is_that_of_all_pairs():
+    rng = np.random.default_rng(5)
+    for shape, share in (((7, 12), 0.1), ((30, 25), 0.02), ((1, 9), 0.3), ((9, 1), 0.3)):
+        lats, lons = np.sort(rng.uniform(-80, 80, shape[0])), np.sort(rng.uniform(-180, 180, shape[1]))
+        marked = rng.random(shape) < share
+        marked[0, 0] = True
+        i, j = np.nonzero(marked)
+        la, lo = (a.ravel() for a in np.meshgrid(lats, lons, indexing="ij"))
+        want = fronts.nearest_km(la, lo, lats[i], lons[j]).reshape(shape)
+        assert np.allclose(fronts.nearest_on_grid(marked, lats, lons), want, rtol=1e-12)
+    assert np.isnan(fronts.nearest_on_grid(np.zeros((2, 3), bool), np.arange(2.0), np.arange(3.0))).all()
+
+
+def test_land_has_no_front_distance_and_sea_without_a_value_has(spark):
+    rows = [(D(2020, 1, 1), float(i), float(j), None if j == 9 else 20.0 if j < 5 else 10.0) for i in range(8) for j in range(10)]
+    df = spark.createDataFrame(rows, "time date, lat double, lon double, sst double")
+    sea = df.filter("lon > 1").select("lat", "lon")
+    got = {(r["lat"], r["lon"]): r["sst_fdist"] for r in fronts.front_distance(df, "sst", sea=sea).collect()}
+    assert got[(3.0, 0.0)] is None and got[(3.0, 9.0)] == 0 and got[(3.0, 2.0)] == pytest.approx(6371 * math.radians(2))
+    with pytest.raises(ValueError):
+        fronts.front_distance(df, "mld")
+
+
+def test_nearest_steps_across_stretches(spark):
+    rng = np.random.default_rng(3)
+    left = [(i, "ab"[i % 2], D(2020, 1, 1) + dt.timedelta(days=int(rng.integers(0, 900)))) for i in range(200)] + [(900, "a", None), (901, "c", D(2020, 1, 1)), (902, None, D(2020, 5, 1))]
+    right = [("ab"[i % 2], D(2020, 1, 1) + dt.timedelta(days=int(x)), float(i)) for i, x in enumerate(rng.choice(900, 24, replace=False))] + [("a", None, -1.0)]
+    l, r = spark.createDataFrame(left, "id int, k string, at date"), spark.createDataFrame(right, "k string, time date, v double")
+    want = {}
+    for i, k, at in left:
+        near = [(abs((t - at).days), -t.toordinal(), v) for kk, t, v in right if at and t and kk == k]
+        want[i] = min(near)[2] if near else None
+    for days in (7, 30, 5000):
+        assert {x["id"]: x["v"] for x in join.nearest_in_time(l, r, ["k"], "at", "time", ["v"], days).collect()} == want
+
+
+def test_long_axes_meet_targets_in_a_window(spark, monkeypatch):
+    nodes = spark.createDataFrame([(float(x),) for x in (0, 2, 3, 7)], "lat double")
+    targets = spark.createDataFrame([(x,) for x in (-1.0, 0.0, 1.0, 2.4, 2.5, 6.0, 7.0, 9.0)], "lat double")
+    short = sorted(map(tuple, grid.nearest_node(nodes, targets, "lat").collect()))
+    monkeypatch.setattr(grid, "AXIS_NODES", 2)
+    assert sorted(map(tuple, grid.nearest_node(nodes, targets, "lat").collect())) == short == [(-1.0, 0.0), (0.0, 0.0), (1.0, 0.0), (2.4, 2.0), (2.5, 2.0), (6.0, 7.0), (7.0, 7.0), (9.0, 7.0)]
+
+
+def test_groups_of_variables(spark):
+    assert sorted(ocean.PROCESSORS) == ["atm-accum-avg", "atm-instante", "chl", "fsle", "mld", "radiation", "ssh", "sst", "waves"]
+    hours = [(dt.datetime(2020, 1, d, h), 30.0, -10.0, 3.0, 4.0, 0.25 * h, 100000.0) for d in (1, 2) for h in range(3)]
+    got = ocean.PROCESSORS["atm-instante"](spark.createDataFrame(hours, "time timestamp, lat double, lon double, u10 double, v10 double, tcc double, msl double")).orderBy("time").collect()
+    assert len(got) == 2 and (got[0]["wind_speed"], got[0]["tcc"], got[0]["msl"]) == (5.0, 0.25, 1000.0)
+    sst = ocean.PROCESSORS["sst"](cube(spark, [D(2020, 1, 1)], lambda t, i, j: 280.0 + 5 * j, "analysed_sst"), 30, -10, 5)
+    assert {"sst", "sst_std", "sst_fdist"} <= set(sst.columns) and sst.count() == 9
+    assert {"chl", "chl_fdist"} <= set(ocean.PROCESSORS["chl"](cube(spark, [D(2020, 1, 1)], name="CHL")).columns)
+
+
+def test_accumulated_variables_start_with_full_windows(spark):
+    stress = cube(spark, [D(2020, 1, d) for d in (8, 9)], lambda t, i, j: t + i * j, "tau_x").withColumns({"tau_y": F.col("lon") * 2, "tp": F.lit(0.001)})
+    pump = ocean.ekman_pumping(stress, dlat=5, dlon=5)
+    before = cube(spark, [D(2020, 1, d) for d in range(1, 9)], lambda *x: 1.0, "ekman_pumping")
+    cells = before.select("lat", "lon").distinct()
+    clim = cells.crossJoin(spark.range(1, 20).select(F.col("id").cast("int").alias("dayofyear"))).withColumn("ekman_pumping", F.lit(0.5))
+    p90 = cells.withColumns({"month": F.lit(1), "ekman_pumping": F.lit(0.25)})
+    sea = cells.filter("lat > 30")
+    got = {(r["time"].day, r["lat"], r["lon"]): r for r in ocean.PROCESSORS["atm-accum-avg"](stress, clim, p90, before, sea, dlat=5, dlon=5).collect()}
+    own = {(r["time"].day, r["lat"], r["lon"]): r["ekman_pumping"] for r in pump.collect()}
+    assert len(got) == 18
+    for (day, lat, lon), r in got.items():
+        smooth = ((6 if day == 8 else 5) + sum(own[(x, lat, lon)] for x in range(8, day + 1))) / 7
+        assert r["tp"] == pytest.approx(1.0) and r["ekman_pumping"] == own[(day, lat, lon)]
+        if lat == 30:
+            assert r["ekman_7d"] is None and r["n_upwell_events_3d"] is None
+        else:
+            assert r["ekman_7d"] == pytest.approx(smooth) and r["ekman_anom"] == pytest.approx(smooth - 0.5)
+            assert r["ekman_anom_lag3"] == pytest.approx(0.5) and r["n_upwell_events_3d"] == (3 if day == 8 else 2)  # 6 / 7 and 5 / 7, less 0.5

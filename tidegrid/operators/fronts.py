@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLDS = {"sst": 0.4, "chl": 0.06}
@@ -70,32 +70,83 @@ def nearest_km(lat: np.ndarray, lon: np.ndarray, to_lat: np.ndarray, to_lon: np.
     return np.concatenate(best) * 6371.0
 
 
-def _day(pdf: pd.DataFrame, variable: str, threshold: float, distance: str) -> pd.DataFrame:
+def nearest_on_grid(marked: np.ndarray, lats: np.ndarray, lons: np.ndarray) -> np.ndarray:
+    """nearest_km from every cell of a grid to its marked cells, without pairs of cells.
+
+    The nearest marked cell of each column is found by a scan along it; the rest is a search over the
+    columns that have one, so the work is cells x columns, however many cells are marked.
+    """
+    some = np.flatnonzero(marked.any(axis=0))
+    if len(some) == 0:
+        return np.full(marked.shape, np.nan)
+    la, lo, n = np.radians(lats), np.radians(lons), len(lats)
+    at, held = np.arange(n)[:, None], marked[:, some]
+    before = np.maximum.accumulate(np.where(held, at, -1), axis=0)
+    after = np.minimum.accumulate(np.where(held, at, n)[::-1], axis=0)[::-1]
+    down = np.where(before >= 0, la[:, None] - la[before], np.inf)
+    up = np.where(after < n, la[np.minimum(after, n - 1)] - la[:, None], np.inf)
+    along = np.minimum(down, up) ** 2
+    out = np.empty(marked.shape)
+    step = max(1, _BLOCK // len(some))
+    for k in range(0, len(lons), step):
+        across = (lo[k : k + step, None] - lo[None, some]) ** 2
+        for i in range(n):
+            out[i, k : k + step] = np.sqrt((across + along[i]).min(axis=1))
+    return out * 6371.0
+
+
+def _on_axes(pdf: pd.DataFrame, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     lats, i = np.unique(pdf["lat"].to_numpy(), return_inverse=True)
     lons, j = np.unique(pdf["lon"].to_numpy(), return_inverse=True)
     field = np.full((len(lats), len(lons)), np.nan)
-    v = pdf[variable].to_numpy(dtype=float)
-    field[i, j] = v
+    field[i, j] = pdf[column].to_numpy(dtype=float)
+    return field, lats, lons, i, j
+
+
+def _day(pdf: pd.DataFrame, variable: str, threshold: float, distance: str) -> pd.DataFrame:
+    field, lats, lons, i, j = _on_axes(pdf, variable)
     mask = front_mask(field, threshold)
-    fi, fj = np.nonzero(mask)
-    km = nearest_km(pdf["lat"].to_numpy(), pdf["lon"].to_numpy(), lats[fi], lons[fj])
+    km = nearest_on_grid(mask, lats, lons)
     out = pdf[["time", "lat", "lon"]].copy()
     out["is_front"] = mask[i, j]
-    out[distance] = pd.Series(np.where(np.isnan(v), np.nan, km), index=out.index)
+    out[distance] = pd.Series(np.where(pdf["sea"], km[i, j], np.nan), index=out.index)
     return out
 
 
-def front_distance(df: DataFrame, variable: str = "sst", threshold: float | None = None) -> DataFrame:
-    """time, lat, lon, is_front and `variable`_fdist: kilometres from every cell with a value to the day's nearest front."""
+def _marked_day(pdf: pd.DataFrame) -> pd.DataFrame:
+    field, lats, lons, i, j = _on_axes(pdf, "marked")
+    return pdf[["time", "lat", "lon"]].assign(km=nearest_on_grid(field == 1, lats, lons)[i, j])
+
+
+def marked_distance(df: DataFrame, marked: Column) -> DataFrame:
+    """time, lat, lon and km: from every cell to the nearest marked cell of its time; null where none is marked."""
+    picked = df.select("time", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"), F.coalesce(marked, F.lit(False)).cast("int").alias("marked"))
+    out = picked.groupBy("time").applyInPandas(_marked_day, f"time {dict(df.dtypes)['time']}, lat double, lon double, km double")
+    return out.withColumn("km", F.when(~F.isnan("km"), F.col("km")))
+
+
+def front_distance(df: DataFrame, variable: str = "sst", threshold: float | None = None, sea: DataFrame | None = None) -> DataFrame:
+    """time, lat, lon, is_front and `variable`_fdist: kilometres from every sea cell to the time's nearest front.
+
+    sea: the (lat, lon) of cells in the sea; without it cells with a value are. Land has no distance.
+    """
+    if variable not in THRESHOLDS and threshold is None:
+        raise ValueError(f"no threshold for {variable}; there are {', '.join(THRESHOLDS)}")
     limit = THRESHOLDS[variable] if threshold is None else threshold
     name = f"{variable}_fdist"
     kinds = dict(df.dtypes)
     schema = f"time {kinds['time']}, lat double, lon double, is_front boolean, {name} double"
-    picked = df.select("time", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"), F.col(variable).cast("double").alias(variable))
+    value = F.col(variable).cast("double")
+    picked = df.select("time", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"), value.alias(variable))
+    if sea is None:
+        picked = picked.withColumn("sea", F.col(variable).isNotNull() & ~F.isnan(variable))
+    else:
+        cells = sea.select(F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"), F.lit(True).alias("sea")).distinct()
+        picked = picked.join(cells, ["lat", "lon"], "left").withColumn("sea", F.coalesce("sea", F.lit(False)))
     out = picked.groupBy("time").applyInPandas(lambda pdf: _day(pdf, variable, limit, name), schema)
     return out.withColumn(name, F.when(~F.isnan(name), F.col(name)))
 
 
-def with_front_distance(df: DataFrame, variable: str, threshold: float | None = None, keys: Sequence[str] = ("time", "lat", "lon")) -> DataFrame:
-    found = front_distance(df, variable, threshold).drop("is_front")
+def with_front_distance(df: DataFrame, variable: str, threshold: float | None = None, keys: Sequence[str] = ("time", "lat", "lon"), sea: DataFrame | None = None) -> DataFrame:
+    found = front_distance(df, variable, threshold, sea).drop("is_front")
     return df.withColumn("lat", F.col("lat").cast("double")).withColumn("lon", F.col("lon").cast("double")).join(found, list(keys), "left")

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegrid.model import BBox
 
+#: Values of an axis that are sent to every task: 8 MB.
+AXIS_NODES = 1_000_000
+
 
 def centres(spark: SparkSession, low: float, high: float, step: float, name: str) -> DataFrame:
     """Cell centres from low + step / 2 below high, by integer index, so that rounding doesn't add up."""
@@ -31,7 +36,15 @@ def snap(df: DataFrame, axes: Sequence[str] = ("lat", "lon"), places: int = 4) -
 
 
 def _between(nodes: DataFrame, targets: DataFrame, name: str) -> DataFrame:
-    """For each target x: the nodes lo <= x <= hi around it; null beyond the ends. One window over an axis, not over cells."""
+    """For each target x: the nodes lo <= x <= hi around it; null beyond the ends.
+
+    An axis of at most AXIS_NODES values goes to the tasks, where each target is searched for in it, so
+    targets may be as many as points. A longer one meets the targets in one ordered window.
+    """
+    axis = nodes.select(F.col(name).cast("double").alias("node")).filter("node IS NOT NULL").distinct()
+    held = sorted(r[0] for r in axis.limit(AXIS_NODES + 1).collect())
+    if len(held) <= AXIS_NODES:
+        return _searched(np.array(held), targets.select(F.col(name).cast("double").alias("x")).filter("x IS NOT NULL"))
     points = nodes.select(F.col(name).alias("x"), F.col(name).alias("node"), F.lit(0).alias("target")).unionByName(
         targets.select(F.col(name).alias("x"), F.lit(None).cast("double").alias("node"), F.lit(1).alias("target"))
     )
@@ -42,6 +55,17 @@ def _between(nodes: DataFrame, targets: DataFrame, name: str) -> DataFrame:
     return points.select("x", "target", lo.alias("lo"), hi.alias("hi")).filter("target = 1").drop("target")
 
 
+def _searched(axis: np.ndarray, targets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column(0).to_numpy(zero_copy_only=False)
+            lo, hi = np.searchsorted(axis, x, "right") - 1, np.searchsorted(axis, x, "left")
+            ends = [(axis[np.clip(k, 0, len(axis) - 1)], out) if len(axis) else (np.zeros(len(x)), np.ones(len(x), bool)) for k, out in ((lo, lo < 0), (hi, hi >= len(axis)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(v, pa.float64(), mask=m) for v, m in ends]], names=["x", "lo", "hi"])
+
+    return targets.mapInArrow(run, "x double, lo double, hi double")
+
+
 def linear_weights(nodes: DataFrame, targets: DataFrame, name: str) -> DataFrame:
     """(node, x, w, n): the one or two nodes that a target is interpolated from. Targets outside the nodes have none."""
     b = _between(nodes, targets, name).filter("lo IS NOT NULL AND hi IS NOT NULL")

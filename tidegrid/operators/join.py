@@ -67,23 +67,36 @@ def outer_merge(tables: Sequence[DataFrame], keys: Sequence[str] = CUBE) -> Data
     return every.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names])
 
 
-def nearest_in_time(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, values: Sequence[str]) -> DataFrame:
+def nearest_in_time(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, values: Sequence[str], days: int = 30) -> DataFrame:
     """Each left row with the values of right's row nearest in time among equal `by`; a tie goes to the later.
 
-    Both sides are put in one ordered stream a key, where the last and next right rows are looked up:
-    linear work, unlike a join on all pairs of a key.
+    Both sides are put in ordered streams, one for each key and stretch of `days`, where the last and next right rows are
+    looked up: linear work, unlike a join on all pairs of a key. What a stretch lacks at its ends comes from a
+    table of the stretches' first and last right rows, so a hot key is as many tasks as it has stretches. A
+    null time matches nothing.
     """
     clock = F.unix_micros(F.to_timestamp(F.col("__t")))
     row = F.struct(clock.alias("t"), F.col("__t").alias("at"), *[F.col(v) for v in values])
     l = left.withColumn("__t", F.to_timestamp(left_time)).withColumn("__left", F.struct(*[F.col(f"`{c}`") for c in left.columns])).withColumn("__row", F.lit(None))
-    r = right.select(*by, F.to_timestamp(right_time).alias("__t"), *values).withColumn("__row", row)
+    r = right.select(*by, F.to_timestamp(right_time).alias("__t"), *values).filter("__t IS NOT NULL").withColumn("__row", row)
     kind = r.schema["__row"].dataType
     l = l.select(*by, "__t", "__left", F.col("__row").cast(kind).alias("__row"))
     both = l.unionByName(r.select(*by, "__t", F.lit(None).cast(l.schema["__left"].dataType).alias("__left"), "__row"))
-    w = Window.partitionBy(*by).orderBy("__t")
+    stretch = F.floor(clock / (days * 86_400_000_000)).alias("__s")
+    both = both.select("*", stretch)
+    ends = both.groupBy(*by, "__s").agg(F.min_by("__row", F.when(F.col("__row").isNotNull(), F.col("__t"))).alias("__f"), F.max_by("__row", F.when(F.col("__row").isNotNull(), F.col("__t"))).alias("__l"))
+    along = Window.partitionBy(*by).orderBy("__s")  # a row for each stretch, not for each time
+    ends = ends.select(
+        *[F.col(b).alias(f"__k{i}") for i, b in enumerate(by)], F.col("__s").alias("__s2"),
+        F.last("__l", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("__p0"),
+        F.first("__f", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("__n0"),
+    )
+    w = Window.partitionBy(*by, "__s").orderBy("__t")
     before = F.last("__row", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     after = F.first("__row", ignorenulls=True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))
     met = both.withColumn("__b", before).withColumn("__a", after).filter(F.col("__left").isNotNull())
+    same = reduce(lambda a, b: a & b, [F.col("__s2").eqNullSafe(F.col("__s")), *[F.col(f"__k{i}").eqNullSafe(F.col(b)) for i, b in enumerate(by)]])
+    met = met.join(ends, same, "left").withColumn("__b", F.when(F.col("__t").isNotNull(), F.coalesce("__b", "__p0"))).withColumn("__a", F.when(F.col("__t").isNotNull(), F.coalesce("__a", "__n0")))
     later = F.col("__b").isNull() | ((F.col("__a.t") - clock) <= (clock - F.col("__b.t")))
     pick = F.when(later & F.col("__a").isNotNull(), F.col("__a")).otherwise(F.col("__b"))
     return met.withColumn("__p", pick).select("__left.*", F.col("__p.at").alias("matched_time"), *[F.col(f"__p.{v}").alias(v) for v in values])

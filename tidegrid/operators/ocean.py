@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import physics as ph
 from tidegrid.model import BBox
-from tidegrid.operators.aggregate import daily, daily_mean
-from tidegrid.operators.grid import neighbourhood_std
-from tidegrid.operators.join import calendar_lookup
+from tidegrid.operators.aggregate import daily
+from tidegrid.operators.fronts import with_front_distance
+from tidegrid.operators.grid import clip_land, neighbourhood_std
+from tidegrid.operators.join import calendar_lookup, outer_merge
 from tidegrid.operators.window import centred_difference, event_counts, lagged, rate, rolling_mean
 
 CELL = ("lat", "lon")
@@ -30,6 +31,11 @@ def daily_pressure(df: DataFrame, variable: str = "msl") -> DataFrame:
     return daily(df, CELL, {variable: F.avg(ph.pascal_to_hectopascal(F.col(variable)))})
 
 
+def daily_cloud(df: DataFrame, variable: str = "tcc") -> DataFrame:
+    """Mean share of the sky."""
+    return daily(df, CELL, {variable: F.avg(variable)})
+
+
 def daily_rain(df: DataFrame, variable: str = "tp") -> DataFrame:
     """Millimetres a day; a day of missing values has none."""
     return daily(df, CELL, {variable: F.coalesce(F.sum(ph.metre_to_millimetre(F.col(variable))), F.lit(0.0))})
@@ -136,15 +142,57 @@ def last_step_is_constant(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     return counts.select(parts.alias("p")).select("p.*")
 
 
+# -- groups: all variables of a key --------------------------------------------------------------
+
+
+def temperature_group(df: DataFrame, lat0: float, lon0: float, step: float, sea: DataFrame | None = None) -> DataFrame:
+    """sst, its 3 x 3 deviation and the distance to its fronts."""
+    return with_front_distance(sea_temperature(df, lat0, lon0, step), "sst", sea=sea)
+
+
+def chlorophyll_group(df: DataFrame, sea: DataFrame | None = None) -> DataFrame:
+    """chl and the distance to its fronts."""
+    return with_front_distance(df.withColumnRenamed("CHL", "chl"), "chl", sea=sea)
+
+
+def instant_group(df: DataFrame) -> DataFrame:
+    """Daily wind, cloud cover and pressure, on the days and cells that any has."""
+    return outer_merge([daily_wind(df), daily_cloud(df), daily_pressure(df)], ("time", *CELL))
+
+
+def accumulated_group(df: DataFrame, climatology: DataFrame, p90: DataFrame, previous: DataFrame | None = None, sea: DataFrame | None = None, tau_x: str = "tau_x", tau_y: str = "tau_y", rain: str = "tp", **grid) -> DataFrame:
+    """Daily curl, pumping and its features, and rain.
+
+    previous: days (time, lat, lon, ekman_pumping) before the first of df, so that running windows begin full;
+    they aren't in the result. Features are null on land where sea is given.
+    """
+    pump = ekman_pumping(df, tau_x, tau_y, **grid)
+    first = pump.agg(F.min("time")).first()[0]
+    series = pump.select("time", *CELL, "ekman_pumping")
+    if previous is not None:
+        series = series.unionByName(previous.select("time", *CELL, "ekman_pumping").filter(F.col("time") < F.lit(first)))
+    made = ekman_features(series, climatology, p90).drop("ekman_pumping").withColumnsRenamed({"smooth": "ekman_7d", "anomaly": "ekman_anom"})
+    made = made.withColumnsRenamed({f"anomaly_lag{n}": f"ekman_anom_lag{n}" for n in (3, 7, 14)} | {f"events_{n}": f"n_upwell_events_{n}d" for n in (3, 7, 14)})
+    if first is not None:
+        made = made.filter(F.col("time") >= F.lit(first))
+    if sea is not None:
+        made = clip_land(made, sea, [c for c in made.columns if c not in ("time", *CELL)])
+    return outer_merge([pump, made, daily_rain(df, rain)], ("time", *CELL))
+
+
+def radiation_group(df: DataFrame) -> DataFrame:
+    """Every variable of the table."""
+    return daily_radiation(df, [c for c in df.columns if c not in ("time", *CELL)])
+
+
 PROCESSORS: dict[str, Callable[..., DataFrame]] = {
-    "ssh": sea_level,
-    "sst": sea_temperature,
+    "atm-instante": instant_group,
+    "atm-accum-avg": accumulated_group,
+    "radiation": radiation_group,
+    "waves": daily_waves,
+    "chl": chlorophyll_group,
+    "sst": temperature_group,
     "mld": renamed(mlotst="mld"),
-    "chl": renamed(CHL="chl"),
+    "ssh": sea_level,
     "fsle": lyapunov,
-    "atm-instante": daily_wind,
-    "atm-accum-avg": ekman_pumping,
-    "radiation": daily_radiation,
-    "waves": daily_waves,
-    "mean": daily_mean,
 }

@@ -49,6 +49,13 @@ def depths(levels: Sequence[float]) -> Callable[[DataFrame, Target, Sequence[str
     return run
 
 
+def named_depths(df: DataFrame, target: Target, variables: Sequence[str], levels: Sequence[float] | None = None) -> DataFrame:
+    """A variable of levels, at those that its configuration names (Variable.levels)."""
+    if not levels:
+        raise ValueError(f"{', '.join(variables)}: no depths are configured")
+    return depths(levels)(df, target, variables)
+
+
 def moon(df: DataFrame, target: Target, variables: Sequence[str]) -> DataFrame:
     """The lit share on each day of df, on every sea cell."""
     days = df.select(F.to_date("time").alias("time")).distinct().withColumn("moon", moon_illumination(F.col("time")))
@@ -66,7 +73,7 @@ def pumping(df: DataFrame, target: Target, variables: Sequence[str]) -> DataFram
 
 
 COMPILERS: dict[str, Callable[[DataFrame, Target, Sequence[str]], DataFrame]] = {
-    "bathy": static, "moon": moon, "sst": temperature, "atm-accum-avg": pumping,
+    "bathy": static, "moon": moon, "o2": named_depths, "thetao": named_depths, "sst": temperature, "atm-accum-avg": pumping,
 }
 
 
@@ -76,13 +83,14 @@ class Variable:
     table: DataFrame
     columns: Sequence[str]
     compiler: Callable[[DataFrame, Target, Sequence[str]], DataFrame] | None = None
+    levels: Sequence[float] | None = None
 
 
 def compiled(variables: Sequence[Variable], target: Target, dates: DateRange | None = None) -> DataFrame:
     """All variables on the target grid, in one row for each (time, lat, lon) that any has; static ones on all of them."""
     moving, still = [], []
     for v in variables:
-        run = v.compiler or COMPILERS.get(v.key, default)
+        run = v.compiler or (depths(v.levels) if v.levels else COMPILERS.get(v.key, default))
         table = v.table
         if "time" in table.columns:
             if dates is not None:

@@ -461,10 +461,7 @@ def cell_matrix(spark, d):
 )
 def nearest_km(spark, d):
     """Distance from each cell to the nearest marked cell of its day."""
-    c = cube(spark, d)
-    marked = c.filter("v1 > 45").select("time", F.col("lat").alias("a"), F.col("lon").alias("b"))
-    km = ph.angular_distance_km(F.col("lat"), F.col("lon"), F.col("a"), F.col("b"))
-    return c.join(marked, "time").groupBy("time", "lat", "lon").agg(F.round(F.min(km), 4).alias("km"))
+    return fronts.marked_distance(cube(spark, d), F.col("v1") > 45).filter("km IS NOT NULL").withColumn("km", F.round("km", 4))
 
 
 @query()
