@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests_support import cube
 from tidegrid.cube import Cube
+from tidegrid.model import BBox
 from tidegrid.operators import extract, ocean
 from tidegrid.plans import plots
 from tidegrid.sources import netcdf, zarr
@@ -90,3 +91,68 @@ def test_extraction_resumes(spark, tmp_path):
 def test_points_of_a_multipoint(spark):
     df = spark.createDataFrame([(1, [(1.0, 2.0), (3.0, 4.0)])], "id int, points array<struct<lon: double, lat: double>>")
     assert [(r["lon"], r["lat"]) for r in plots.points(df).collect()] == [(1.0, 2.0), (3.0, 4.0)]
+
+
+def test_zarr_scan_reads_only_the_chunks_it_needs(spark, tmp_path, caplog):
+    path = str(tmp_path / "a")
+    df = cube(spark, days(10))
+    zarr.write_zarr(df, path, ["sst"], (4, 2, 2))
+    later = str(tmp_path / "b")
+    zarr.write_zarr(cube(spark, [D(2021, 1, 11), D(2021, 1, 12)]), later, ["sst"])
+    box = BBox(-6, 36, 1, 41)
+    for gone in ("0.0.0", "0.1.0", "2.1.0", "1.0.1"):
+        (tmp_path / "a" / "sst" / gone).write_bytes(b"not to be read")
+    got = zarr.scan_zarr(spark, [path, later], start_date="2021-01-05", end_date="2021-01-08", bbox=BBox(-1, 36, 1, 41)).collect()
+    assert sorted((r["time"].day, r["lat"], r["lon"], r["sst"]) for r in got) == [(d, 40.0, 0.0, (d - 1) * 9 + 8.0) for d in range(5, 9)]
+    zarr.write_zarr(df, path, ["sst"], (4, 2, 2))
+    assert zarr.scan_zarr(spark, [path, later], ["2021-01-02", "2021-01-12", "2025-01-01"], bbox=box).count() == 4 and "2025-01-01" in caplog.text
+    caplog.clear()
+    assert zarr.scan_zarr(spark, [path, later], start_date="2020-01-01", end_date="2021-01-01").count() == 9 and "2020-01-01" in caplog.text
+    assert zarr.scan_zarr(spark, path).count() == 90
+    for bad, kind in (({"dates": ["2021-01-01"], "end_date": "2021-01-02"}, ValueError), ({"dates": []}, ValueError), ({"dates": "2030-01-01"}, FileNotFoundError), ({"start_date": "2030-01-01"}, FileNotFoundError)):
+        with pytest.raises(kind):
+            zarr.scan_zarr(spark, path, **bad)
+
+
+def test_zarr_append(spark, tmp_path):
+    path = str(tmp_path / "z")
+    every = days(9)
+
+    def values():
+        return {(r["time"].date(), r["lat"], r["lon"]): tuple(r[c] for c in sorted(r.asDict()) if c not in ("time", "lat", "lon")) for r in zarr.read_zarr(spark, path).collect()}
+
+    assert zarr.append_zarr(cube(spark, every[:5]), path, ["sst"], chunks=(3, 2, 2)) == "created"
+    untouched = (tmp_path / "z" / "sst" / "0.0.0").stat().st_mtime_ns
+    assert zarr.append_zarr(cube(spark, every[5:7], lambda t, i, j: 100 * t + i + j), path, ["sst"]) == "appended"
+    assert (tmp_path / "z" / "sst" / "0.0.0").stat().st_mtime_ns == untouched
+    got = values()
+    assert len(got) == 63 and got[(every[4], 40.0, 0.0)] == (44.0,) and got[(every[6], 35.0, 0.0)] == (103.0,)
+    assert zarr.append_zarr(cube(spark, every[6:8], lambda *x: 1.0), path, ["sst"]) == "merged"
+    got = values()
+    assert len(got) == 72 and got[(every[5], 30.0, -5.0)] == (1.0,) and got[(every[6], 35.0, 0.0)] == (1.0,) and got[(every[0], 30.0, 0.0)] == (2.0,)
+    assert zarr.append_zarr(cube(spark, every[:1], name="chl"), path, ["chl"]) == "merged"
+    got = values()
+    assert got[(every[0], 30.0, 0.0)] == (2.0, 2.0) and got[(every[1], 30.0, 0.0)] == (None, 11.0)
+    both = cube(spark, every).withColumn("chl", F.lit(7.0))
+    assert zarr.append_zarr(both, path, ["sst", "chl"]) == "replaced" and values()[(every[1], 30.0, 0.0)] == (7.0, 11.0)
+    with pytest.raises(ValueError):
+        zarr.append_zarr(both.withColumn("lat", F.col("lat") + 90), path, ["sst"])
+    with pytest.raises(ValueError):
+        zarr.append_zarr(both.filter("false"), path, ["sst"])
+
+
+def test_a_replacement_that_was_cut_short(spark, tmp_path):
+    path = str(tmp_path / "z")
+    zarr.write_zarr(cube(spark, days(2)), path + ".bak", ["sst"])
+    (tmp_path / "z.tmp").mkdir()
+    assert zarr.recover(spark, path) == "restored" and zarr.read_zarr(spark, path).count() == 18
+    zarr.write_zarr(cube(spark, days(1)), path + ".bak", ["sst"])
+    assert zarr.recover(spark, path) == "cleaned" and zarr.read_zarr(spark, path).count() == 18 and zarr.recover(spark, path) is None
+
+
+def test_tiles_are_merged(spark, tmp_path):
+    tiles = cube(spark, days(1), name="z").drop("time")
+    zarr.merge_tiles(tiles, BBox(-6, 30, 0, 36), str(tmp_path / "m"), ["z"], tile=1)
+    assert zarr.read_zarr(spark, str(tmp_path / "m")).count() == 4
+    with pytest.raises(ValueError):
+        zarr.merge_tiles(tiles, BBox(50, 30, 60, 36), str(tmp_path / "n"), ["z"])

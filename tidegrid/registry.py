@@ -53,6 +53,27 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), F.to_date("o_orderdate").alias("time"), c.alias("lat"), c.alias("lon"))
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str):
+    """A store of the cube, written once a session; it keeps floats."""
+    import uuid
+
+    from tidegrid.sources.store import CubeStore
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    store = CubeStore(spark, _STORES.get(key) or f"{checkpoints(spark)}/cube-{uuid.uuid4().hex}")
+    if key not in _STORES:
+        store.add_data(cube(spark, sf_dir))
+        _STORES[key] = store.path
+    return store
+
+
+def doubles(df: DataFrame) -> DataFrame:
+    return df.withColumns({n: F.col(n).cast("double") for n, t in df.dtypes if t == "float"})
+
+
 def r6(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
@@ -70,31 +91,31 @@ def query(sql: str | None = None):
 # -- scans, filters, casts -------------------------------------------------------------------------
 
 
-@query(f"WITH {CUBE_SQL} SELECT time, lat, lon, v1 FROM cube WHERE time BETWEEN DATE '1996-01-01' AND DATE '1997-06-30' AND lon BETWEEN 2 AND 6 AND lat BETWEEN 1 AND 4")
+@query(f"WITH {CUBE_SQL} SELECT time, lat, lon, CAST(CAST(v1 AS FLOAT) AS DOUBLE) AS v1 FROM cube WHERE time BETWEEN DATE '1996-01-01' AND DATE '1997-06-30' AND lon BETWEEN 2 AND 6 AND lat BETWEEN 1 AND 4")
 def scan_range(spark, d):
-    return cube(spark, d).filter(DateRange("1996-01-01", "1997-06-30").predicate()).filter(BBox(2, 1, 6, 4).predicate()).select("time", "lat", "lon", "v1")
+    return doubles(stored(spark, d).scan(("1996-01-01", "1997-06-30"), BBox(2, 1, 6, 4), ["v1"]))
 
 
-@query(f"WITH {CUBE_SQL} SELECT time, lat, lon, v1 FROM cube WHERE time IN (DATE '1996-01-01', DATE '1996-02-29', DATE '2000-12-31')")
+@query(f"WITH {CUBE_SQL} SELECT time, lat, lon, CAST(CAST(v1 AS FLOAT) AS DOUBLE) AS v1 FROM cube WHERE time IN (DATE '1996-01-01', DATE '1996-02-29', DATE '2000-12-31')")
 def scan_days(spark, d):
-    return cube(spark, d).filter(F.col("time").isin([dt.date(1996, 1, 1), dt.date(1996, 2, 29), dt.date(2000, 12, 31)])).select("time", "lat", "lon", "v1")
+    return doubles(stored(spark, d).scan(["1996-01-01", "1996-02-29", "2000-12-31"], columns=["v1"]))
 
 
-@query(f"WITH {CUBE_SQL} SELECT time, lat, lon, v2 FROM (SELECT time, lat, lon, round(v2, 6) AS v2 FROM cube) WHERE time = DATE '1998-03-05' AND lon BETWEEN 1 AND 7 AND lat BETWEEN 0 AND 5")
+@query(f"WITH {CUBE_SQL} SELECT time, lat, lon, CAST(CAST(v2 AS FLOAT) AS DOUBLE) AS v2 FROM cube WHERE time = DATE '1998-03-05' AND lon BETWEEN 1 AND 7 AND lat BETWEEN 0 AND 5")
 def scan_padded_box(spark, d):
-    step = 1.0
-    return r6(cube(spark, d).filter("time = DATE '1998-03-05'").filter(BBox(2, 1, 6, 4).padded(step).predicate()).select("time", "lat", "lon", "v2"), "v2")
+    return doubles(stored(spark, d).scan(["1998-03-05"], BBox(2, 1, 6, 4), ["v2"], padding=1.0))
 
 
 @query(f"WITH {CUBE_SQL} SELECT year(time) AS year, month(time) AS month, count(*) AS n, count(v1) AS n_v1 FROM cube GROUP BY 1, 2")
 def partition_sizes(spark, d):
-    return cube(spark, d).groupBy(F.year("time").alias("year"), F.month("time").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.count("v1").alias("n_v1"))
+    return stored(spark, d).partition_sizes(["v1"])
 
 
 @query("SELECT min(least(l_suppkey % 10, l_partkey % 10)) AS low, max(greatest(l_suppkey % 10, l_partkey % 10)) AS high, CAST(min(l_shipdate) AS DATE) AS start, CAST(max(l_shipdate) AS DATE) AS stop FROM lineitem")
 def extent(spark, d):
-    c = cube(spark, d)
-    return c.agg(F.min(F.least("lat", "lon")).cast("long").alias("low"), F.max(F.greatest("lat", "lon")).cast("long").alias("high"), F.min("time").alias("start"), F.max("time").alias("stop"))
+    store = stored(spark, d)
+    days, box = store.time_coverage(), store.geo_extent()
+    return spark.createDataFrame([(int(min(box.xmin, box.ymin)), int(max(box.xmax, box.ymax)), days.start, days.end)], "low long, high long, start date, stop date")
 
 
 # -- aggregates ------------------------------------------------------------------------------------
@@ -280,19 +301,21 @@ def ekman_pumping(spark, d):
 _EKMAN = (
     f"WITH {CUBE_SQL}, s AS (SELECT *, avg(v1) OVER (PARTITION BY lat, lon ORDER BY time ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS smooth FROM cube), "
     "c AS (SELECT dayofyear(time) AS k, lat, lon, avg(smooth) AS clim FROM s WHERE NOT (month(time) = 2 AND day(time) = 29) GROUP BY 1, 2, 3), q AS (SELECT month(time) AS k, lat, lon, quantile_cont(v1, 0.9) - 25 AS p90 FROM cube GROUP BY 1, 2, 3), "
-    "a AS (SELECT s.time, s.lat, s.lon, round(s.smooth - c.clim, 6) AS anomaly, q.p90 FROM s LEFT JOIN c ON c.k = dayofyear(s.time) AND c.lat = s.lat AND c.lon = s.lon LEFT JOIN q ON q.k = month(s.time) AND q.lat = s.lat AND q.lon = s.lon) "
+    "a AS (SELECT s.time, s.lat, s.lon, s.smooth, round(s.smooth - c.clim, 6) AS anomaly, s.smooth - c.clim > q.p90 AS over FROM s LEFT JOIN c ON c.k = dayofyear(s.time) AND c.lat = s.lat AND c.lon = s.lon LEFT JOIN q ON q.k = month(s.time) AND q.lat = s.lat AND q.lon = s.lon) "
 )
 
 
 @query(
-    _EKMAN + "SELECT time, lat, lon, anomaly, lag(anomaly, 7) OVER (PARTITION BY lat, lon ORDER BY time) AS anomaly_lag7 FROM a"
+    _EKMAN + "SELECT time, lat, lon, round(smooth, 6) AS smooth, anomaly, "
+    + ", ".join(f"lag(anomaly, {n}) OVER (PARTITION BY lat, lon ORDER BY time) AS anomaly_lag{n}, sum(CASE WHEN over THEN 1 ELSE 0 END) OVER (PARTITION BY lat, lon ORDER BY time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS events_{n}" for n in (3, 7, 14))
+    + " FROM a"
 )
 def ekman_features(spark, d):
     c = cube(spark, d)
     clim = aggregate.doy_climatology(c, "v1", 1900, 2100)
     p90 = aggregate.monthly_quantile(c, "v1").withColumn("v1", F.col("v1") - 25)
     out = ocean.ekman_features(c, clim, p90, "v1")
-    return r6(out.select("time", "lat", "lon", "anomaly", F.col("anomaly_lag7")), "anomaly", "anomaly_lag7")
+    return r6(out.drop("v1", "v2"), "smooth", "anomaly", *[f"anomaly_lag{n}" for n in (3, 7, 14)])
 
 
 # -- joins -----------------------------------------------------------------------------------------

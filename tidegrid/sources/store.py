@@ -51,10 +51,13 @@ class CubeStore:
         return fs.exists(where) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(where))
 
     def schema(self) -> T.StructType:
-        """Union of the files' schemas."""
+        """Union of the schemas of one file a partition, the newest: whatever add_data writes has all columns known by then."""
         if not self.exists():
             raise RuntimeError(f"no data in {self.path}")
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path).schema
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(self.path)
+        newest = files.groupBy(F.regexp_replace("path", "/[^/]*$", "")).agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
+        paths = sorted(r["path"] for r in newest.select("path").collect())  # one for each partition
+        return self.spark.read.option("mergeSchema", "true").option("basePath", self.path).parquet(*paths).schema
 
     def read(self, schema: T.StructType | None = None) -> DataFrame:
         return self.spark.read.schema(schema or self.schema()).parquet(self.path)
@@ -142,16 +145,21 @@ class CubeStore:
         if not self.exists():
             self._write(df, "overwrite")
             return "created"
+        # bounds and partitions of the input, in one pass
+        parts = df.groupBy(*self.partitions).agg(*[f(c).alias(f"{k}_{c}") for c in COORDINATES for k, f in (("low", F.min), ("high", F.max))]).collect()
+        if not parts:
+            raise ValueError("no rows to add")
+        low, high = ({c: pick(x for r in parts if (x := r[f"{k}_{c}"]) is not None) for c in COORDINATES} for k, pick in (("low", min), ("high", max)))
         schema = self.schema()
         fields = {f.name: f for f in schema} | {f.name: f for f in df.schema if f.name not in schema.names}
         wide = T.StructType(list(fields.values()))
-        if not self.time_coverage().overlaps(DateRange.of(df)):
+        if not self.time_coverage().overlaps(DateRange(low["time"], high["time"])):
             self._write(self.aligned(df, wide), "append")
             return "appended"
-        if not self.geo_extent().overlaps(BBox.of(df)):
+        if not self.geo_extent().overlaps(BBox(low["lon"], low["lat"], high["lon"], high["lat"])):
             raise ValueError("the box of the input doesn't meet the store's")
         # the touched partitions, as a predicate that prunes folders
-        touched = [tuple(r) for r in df.select(*self.partitions).distinct().collect()]
+        touched = [tuple(r[p] for p in self.partitions) for r in parts]
         if len(self.partitions) == 1:
             mine = F.col(self.partitions[0]).isin([t[0] for t in touched])
         else:
@@ -169,7 +177,35 @@ class CubeStore:
     def time_coverage(self) -> DateRange:
         if not self.exists():
             raise RuntimeError(f"no data in {self.path}")
-        return DateRange.of(self.read().withColumn("time", F.to_date("time")))
+        df = self.read()
+        ends = self._end_partitions()
+        return DateRange.of((df.filter(ends) if ends is not None else df).withColumn("time", F.to_date("time")))
+
+    def _end_partitions(self) -> Column | None:
+        """The first and last partitions in time, by the names of folders; the others can't hold the first or last day."""
+        if self.partitions[:1] != ("year",):
+            return None
+        fs, _ = self._fs()
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+
+        def values(folder: str, name: str) -> list[int]:
+            found = (s.getPath().getName().partition("=") for s in fs.listStatus(Path(folder)))
+            return sorted(int(v) for k, _, v in found if k == name and v.lstrip("-").isdigit())
+
+        years = values(self.path, "year")
+        if not years:
+            return None
+        parts = []
+        for year, at in ((years[0], 0), (years[-1], -1)):
+            part = F.col("year") == year
+            if self.partitions[1:2] == ("month",) and (months := values(f"{self.path}/year={year}", "month")):
+                part = part & (F.col("month") == months[at])
+            parts.append(part)
+        return parts[0] | parts[1]
+
+    def partition_sizes(self, columns: Sequence[str] = ()) -> DataFrame:
+        """Rows of each partition, and how many have a value in columns."""
+        return self.read().groupBy(*self.partitions).agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n_{c}") for c in columns])
 
     def geo_extent(self) -> BBox:
         if not self.exists():
