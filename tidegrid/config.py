@@ -60,6 +60,10 @@ class AppConfig:
     def downloadable(self) -> list[str]:
         return [k for k in self.keys if k not in SYSTEM_KEYS]
 
+    def variable_attributes(self, name: str) -> dict[str, str]:
+        """Attributes of a variable over those that all have (the entry "global")."""
+        return {**self.attributes.get("global", {}), **self.attributes.get(name, {})}
+
     def column_groups(self) -> dict[str, str]:
         """The key of each compiled column."""
         return {c: k for k, v in self.keys.items() for c in v.compiled}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import enum
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,6 +125,11 @@ def file_label(source: str, key: str, bbox: BBox | None, dates: DateRange | None
     return "_".join(x for x in (source, key, bbox.label() if bbox else "", dates.label() if dates else "") if x)
 
 
+def with_attributes(df: DataFrame, attributes: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Attributes by column, as column metadata, over what the columns have."""
+    return reduce(lambda d, c: d.withMetadata(c, {**d.schema[c].metadata, **attributes[c]}), [c for c in df.columns if c in attributes], df)
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], what: str = "table") -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

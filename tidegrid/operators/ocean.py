@@ -14,7 +14,7 @@ from tidegrid.functions import physics as ph
 from tidegrid.model import BBox
 from tidegrid.operators.aggregate import daily
 from tidegrid.operators.fronts import with_front_distance
-from tidegrid.operators.grid import clip_land, neighbourhood_std
+from tidegrid.operators.grid import clip_land, grid_step, neighbourhood_std
 from tidegrid.operators.join import calendar_lookup, outer_merge
 from tidegrid.operators.window import centred_difference, event_counts, lagged, rate, rolling_mean
 
@@ -84,8 +84,19 @@ def grid_index(axis: str, first: float, step: float) -> Column:
     return F.round((F.col(axis) - first) / step)
 
 
-def sea_level(df: DataFrame, lat0: float, lon0: float, step: float) -> DataFrame:
+def _grid(df: DataFrame, lat0: float | None, lon0: float | None, step: float | None) -> tuple[float, float, float]:
+    """First cell and step, from the axes where they aren't given."""
+    if lat0 is None or lon0 is None:
+        low = df.agg(F.min("lat"), F.min("lon")).first()
+        if low[0] is None:
+            return 0.0, 0.0, 1.0
+        lat0, lon0 = (float(given if given is not None else found) for given, found in zip((lat0, lon0), low, strict=True))
+    return lat0, lon0, grid_step(df, "lat") if step is None else step
+
+
+def sea_level(df: DataFrame, lat0: float | None = None, lon0: float | None = None, step: float | None = None) -> DataFrame:
     """Adds 3 x 3 deviations of adt and sla and the geostrophic kinetic energy."""
+    lat0, lon0, step = _grid(df, lat0, lon0, step)
     i, j = grid_index("lat", lat0, step), grid_index("lon", lon0, step)
     out = df.withColumn("gke", ph.kinetic_energy(F.col("ugos"), F.col("vgos")))
     for v in ("adt", "sla"):
@@ -93,8 +104,9 @@ def sea_level(df: DataFrame, lat0: float, lon0: float, step: float) -> DataFrame
     return out
 
 
-def sea_temperature(df: DataFrame, lat0: float, lon0: float, step: float) -> DataFrame:
+def sea_temperature(df: DataFrame, lat0: float | None = None, lon0: float | None = None, step: float | None = None) -> DataFrame:
     """analysed_sst in kelvin to sst in degrees, with its 3 x 3 deviation."""
+    lat0, lon0, step = _grid(df, lat0, lon0, step)
     out = df.withColumnRenamed("analysed_sst", "sst").withColumn("sst", ph.kelvin_to_celsius(F.col("sst")))
     std = neighbourhood_std(out, "sst", grid_index("lat", lat0, step), grid_index("lon", lon0, step))
     return out.join(std.select("time", *CELL, "sst_std"), ["time", *CELL], "left")
@@ -145,7 +157,7 @@ def last_step_is_constant(df: DataFrame, variables: Sequence[str]) -> DataFrame:
 # -- groups: all variables of a key --------------------------------------------------------------
 
 
-def temperature_group(df: DataFrame, lat0: float, lon0: float, step: float, sea: DataFrame | None = None) -> DataFrame:
+def temperature_group(df: DataFrame, lat0: float | None = None, lon0: float | None = None, step: float | None = None, sea: DataFrame | None = None) -> DataFrame:
     """sst, its 3 x 3 deviation and the distance to its fronts."""
     return with_front_distance(sea_temperature(df, lat0, lon0, step), "sst", sea=sea)
 

@@ -8,6 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.model import DateRange
+from tidegrid.sources.zarr import ZarrStore, group_attributes, set_attributes
+
 SPAN = "dataset_id string, dataset_type string, start_date date, end_date date"
 
 
@@ -23,6 +26,52 @@ def scan_files(df: DataFrame) -> DataFrame:
     return out.withColumn("filename", F.regexp_extract("path", r"([^/]+)$", 1)).withColumn("scanned_at", F.current_timestamp())
 
 
+STORES = "path string, dataset string, start_date date, end_date date, num_timesteps long, xmin double, ymin double, xmax double, ymax double, variables array<string>, source_datasets string"
+
+
+def scan_stores(spark: SparkSession, paths: Sequence[str], dataset: str | None = None) -> DataFrame:
+    """One row for each Zarr store, from metadata and axes alone."""
+    rows = []
+    for p in paths:
+        s = ZarrStore(spark, p)
+        days = s.axis("time").astype("datetime64[us]").astype("datetime64[D]").tolist() if "time" in s.arrays else []
+        lats, lons = (s.axis(d) if d in s.arrays else None for d in ("lat", "lon"))
+        box = [None] * 4 if lats is None or lons is None else [float(x) for x in (lons.min(), lats.min(), lons.max(), lats.max())]
+        rows.append((p, dataset, min(days, default=None), max(days, default=None), len(days), *box, sorted(s.variables()), group_attributes(spark, p).get("source_datasets")))
+    return spark.createDataFrame(rows, STORES)
+
+
+def save_catalog(catalog: DataFrame, path: str) -> None:
+    """A catalogue as one small Parquet table; it may have been read from there."""
+    catalog.coalesce(1).checkpoint().write.mode("overwrite").parquet(path)
+
+
+def load_catalog(spark: SparkSession, path: str, schema: str = STORES) -> DataFrame:
+    """A saved catalogue; an empty one if there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(path)
+
+
+def write_provenance(spark: SparkSession, path: str, manifest: Sequence[dict], start, end) -> list[dict]:
+    """Say on a store which datasets its days from start to end come from, besides what it says already."""
+    days = DateRange(start, end)
+    spans = [*json.loads(group_attributes(spark, path).get("source_datasets") or "[]")]
+    for task in manifest:
+        if part := DateRange(task["start"], task["end"]).intersection(days):
+            spans.append({"dataset_id": task["dataset_id"], "dataset_type": task["dataset_type"], "start_date": str(part.start), "end_date": str(part.end)})
+    merged: dict[tuple, dict] = {}
+    for s in spans:
+        k = (s["dataset_id"], s["dataset_type"])
+        old = merged.get(k, s)
+        merged[k] = {**s, "start_date": min(old["start_date"], s["start_date"]), "end_date": max(old["end_date"], s["end_date"])}
+    out = [merged[k] for k in sorted(merged)]
+    if out:
+        set_attributes(spark, path, {"source_datasets": json.dumps(out)})
+    return out
+
+
 def changed_files(before: DataFrame, now: DataFrame) -> DataFrame:
     """Paths that are new or have another modification time."""
     return now.select("path", "file_mtime").exceptAll(before.select("path", "file_mtime")).select("path")

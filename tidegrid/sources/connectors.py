@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import re
 from abc import ABC, abstractmethod
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import lru_cache
+from pathlib import Path
+from typing import Protocol
 
 from tidegrid.model import BBox, DateRange
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class DownloadTask:
@@ -73,6 +80,67 @@ class Connector(ABC):
         return paths
 
 
+def warn_if_reprocessed(key: str, stored_end: dt.date | None, offered_end: dt.date, has_near_real_time: bool = True) -> bool:
+    """Warn that reprocessed data reach further than what is stored of them, where near-real-time data fill in."""
+    ahead = has_near_real_time and stored_end is not None and offered_end > stored_end
+    if ahead:
+        log.warning("%s: reprocessed data now end on %s, not %s", key, offered_end, stored_end)
+    return ahead
+
+
+class Transport(Protocol):
+    """What an archive of files needs of FTP, HTTP or a mounted folder."""
+
+    def listing(self, folder: str) -> list[tuple[str, bool]]:
+        """(path, is a folder) of what a folder holds."""
+
+    def download(self, path: str, target: str) -> None: ...
+
+
+class Archive(Connector):
+    """A service that is a tree of files with days in their names (one group) or spans of days (two)."""
+
+    def __init__(self, transport: Transport, pattern: str, workers: int = 2):
+        super().__init__()
+        self.transport, self.pattern, self.workers = transport, re.compile(pattern), workers
+        if self.pattern.groups not in (1, 2):
+            raise ValueError("the pattern needs one or two groups")
+
+    def files(self, folder: str) -> list[str]:
+        found: list[str] = []
+        for path, is_folder in self.transport.listing(folder):
+            found += self.files(path) if is_folder else [path]
+        return sorted(found)
+
+    def span(self, path: str) -> DateRange | None:
+        """The days of a file by its name; None for other files."""
+        if not (m := self.pattern.search(path.rsplit("/", 1)[-1])):
+            return None
+        days = [dt.datetime.strptime(g, "%Y%m%d").date() for g in m.groups()]
+        return DateRange(days[0], days[-1])
+
+    def _available(self, dataset_id: str) -> DateRange | None:
+        spans = [s for f in self.files(dataset_id) if (s := self.span(f))]
+        return DateRange(min(s.start for s in spans), max(s.end for s in spans)) if spans else None
+
+    def fetch(self, task: DownloadTask, target: str) -> list[str]:
+        """The task's files below target/rep or target/nrt; one that is there stays. Each is renamed once it is whole."""
+        wanted = [f for f in self.files(task.dataset_id) if (s := self.span(f)) and s.overlaps(task.dates)]
+        folder = Path(target) / task.dataset_type
+        folder.mkdir(parents=True, exist_ok=True)
+
+        def one(path: str) -> str:
+            out = folder / path.rsplit("/", 1)[-1]
+            if not out.exists():
+                part = out.with_name(out.name + ".part")
+                self.transport.download(path, str(part))
+                part.replace(out)
+            return str(out)
+
+        with ThreadPoolExecutor(self.workers) as pool:
+            return list(pool.map(one, wanted))
+
+
 @dataclass
 class Connectors:
     """Connectors by name."""

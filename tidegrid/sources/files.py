@@ -103,6 +103,24 @@ def sweep(spark: SparkSession, folder: str, suffix: str = ".bak") -> list[str]:
     return restored
 
 
+def prune_empty(spark: SparkSession, folder: str) -> int:
+    """Remove empty folders below a folder, from the deepest up; how many went."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def prune(at, top: bool) -> tuple[int, bool]:
+        gone, left = 0, False
+        for s in fs.listStatus(at):
+            below, held = prune(s.getPath(), False) if s.isDirectory() else (0, True)
+            gone, left = gone + below, left or held
+        if not left and not top:
+            fs.delete(at, False)
+            gone += 1
+        return gone, left
+
+    return prune(Path(folder), True)[0] if fs.exists(Path(folder)) else 0
+
+
 def copy_store(spark: SparkSession, source: str, target: str, partitions: Sequence[str] = ("year", "month")) -> None:
     df = spark.read.parquet(source)
     df.write.mode("overwrite").partitionBy(*[p for p in partitions if p in df.columns]).parquet(target)

@@ -316,6 +316,17 @@ def write_zarr(df: DataFrame, path: str, variables: Sequence[str], chunks: tuple
     sink.put(".zgroup", b'{"zarr_format": 2}')
 
 
+def group_attributes(spark: SparkSession, path: str) -> dict:
+    return json.loads(_bytes(spark, f"{path.rstrip('/')}/.zattrs") or b"{}")
+
+
+def set_attributes(spark: SparkSession, path: str, attributes: dict) -> dict:
+    """Attributes of a group, merged into those it has."""
+    out = {**group_attributes(spark, path), **attributes}
+    _Sink(spark, path.rstrip("/"), None).put(".zattrs", json.dumps(out, default=str).encode())
+    return out
+
+
 # -- appending -----------------------------------------------------------------------------------
 
 
