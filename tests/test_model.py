@@ -1,8 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidegrid.config import KeyConfig, normalized, parse
+from tidegrid.functions import physics as ph
 from tidegrid.model import BBox, DateRange, TimeResolution, file_label
 from tidegrid.plans.incremental import compile_range, gap, grouped_windows, next_range
 from tidegrid.sources.connectors import Connector, Connectors, last_published_month, plan
@@ -96,3 +98,14 @@ def test_planning_of_increments():
     assert compile_range({"a": D(2020, 2, 20), "b": D(2020, 2, 1), "c": D(2020, 1, 5)}, sources) == DateRange("2020-02-02", "2020-03-01")
     w = DateRange("2020-01-01", "2020-01-02")
     assert grouped_windows({"a": w, "b": None, "c": w}) == {w: ["a", "c"]}
+
+
+def test_the_moon_of_published_dates(spark):
+    """New and full moons and quarters of almanacs, within a day's motion."""
+    new = ["2000-01-06", "2017-08-21", "2024-04-08", "1999-08-11"]  # the last three are solar eclipses
+    full = ["2000-01-21", "2018-07-27", "2024-03-25", "1996-09-27"]  # lunar eclipses
+    quarter = ["2024-04-15", "2024-05-01"]
+    days = [(D(*map(int, x.split("-"))), k) for k, xs in (("new", new), ("full", full), ("quarter", quarter)) for x in xs]
+    got = spark.createDataFrame(days, "day date, kind string").select("kind", ph.moon_illumination(F.col("day")).alias("lit")).collect()
+    for r in got:
+        assert {"new": r["lit"] < 3, "full": r["lit"] > 97, "quarter": 38 < r["lit"] < 62}[r["kind"]], r

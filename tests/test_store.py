@@ -167,3 +167,10 @@ def test_compilation(spark, tmp_path):
     p = compiling.Pipeline({"a": [runs.append], "b": [lambda k: 1 / 0], "c": [runs.append]})
     assert not p.run() and runs == ["a", "c"]
     assert grid.on_grid(target.cells(), spark.createDataFrame([(D(2021, 1, 1),)], "time date")).count() == 4
+
+
+def test_points_are_numbered_densely(spark):
+    p = spark.range(0, 50, 1, 7).select((F.col("id") * 1.5).alias("lon"), F.lit(1.0).alias("a.b")).filter("lon % 2 = 0 OR lon > 30")
+    got = files.with_key(p)
+    assert got.columns == ["lon", "a.b", "row_id"] and sorted(r["row_id"] for r in got.collect()) == list(range(p.count()))
+    assert files.with_key(p.filter("false")).isEmpty()
