@@ -301,13 +301,13 @@ def ekman_pumping(spark, d):
 _EKMAN = (
     f"WITH {CUBE_SQL}, s AS (SELECT *, avg(v1) OVER (PARTITION BY lat, lon ORDER BY time ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS smooth FROM cube), "
     "c AS (SELECT dayofyear(time) AS k, lat, lon, avg(smooth) AS clim FROM s WHERE NOT (month(time) = 2 AND day(time) = 29) GROUP BY 1, 2, 3), q AS (SELECT month(time) AS k, lat, lon, quantile_cont(v1, 0.9) - 25 AS p90 FROM cube GROUP BY 1, 2, 3), "
-    "a AS (SELECT s.time, s.lat, s.lon, s.smooth, round(s.smooth - c.clim, 6) AS anomaly, s.smooth - c.clim > q.p90 AS over FROM s LEFT JOIN c ON c.k = dayofyear(s.time) AND c.lat = s.lat AND c.lon = s.lon LEFT JOIN q ON q.k = month(s.time) AND q.lat = s.lat AND q.lon = s.lon) "
+    "a AS (SELECT s.time, s.lat, s.lon, s.smooth, round(s.smooth - c.clim, 6) + 0.0 AS anomaly, s.smooth - c.clim > q.p90 AS over FROM s LEFT JOIN c ON c.k = dayofyear(s.time) AND c.lat = s.lat AND c.lon = s.lon LEFT JOIN q ON q.k = month(s.time) AND q.lat = s.lat AND q.lon = s.lon) "
 )
 
 
 @query(
     _EKMAN + "SELECT time, lat, lon, round(smooth, 6) AS smooth, anomaly, "
-    + ", ".join(f"lag(anomaly, {n}) OVER (PARTITION BY lat, lon ORDER BY time) AS anomaly_lag{n}, sum(CASE WHEN over THEN 1 ELSE 0 END) OVER (PARTITION BY lat, lon ORDER BY time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS events_{n}" for n in (3, 7, 14))
+    + ", ".join(f"lag(anomaly, {n}) OVER (PARTITION BY lat, lon ORDER BY time) AS anomaly_lag{n}, CAST(sum(CASE WHEN over THEN 1 ELSE 0 END) OVER (PARTITION BY lat, lon ORDER BY time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS BIGINT) AS events_{n}" for n in (3, 7, 14))
     + " FROM a"
 )
 def ekman_features(spark, d):
