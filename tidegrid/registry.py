@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions import physics as ph
@@ -78,6 +78,14 @@ def r6(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
 
+def rounded(x: Column, places: int) -> Column:
+    """round() as the SQL has it: the product is rounded, half away from zero; Spark's rounds the shortest decimal of x."""
+    y = x * 10.0**places
+    whole = F.rint(y)
+    whole = F.when((y > 0) & (y - whole == 0.5), whole + 1).when((y < 0) & (y - whole == -0.5), whole - 1).otherwise(whole)
+    return F.when(F.abs(y) < float("inf"), whole / 10.0**places).otherwise(x)
+
+
 def query(sql: str | None = None):
     def add(f: Callable[[SparkSession, str], DataFrame]):
         _QUERIES[f.__name__] = f
@@ -272,7 +280,7 @@ def event_counts(spark, d):
 )
 def accumulated_rate(spark, d):
     o = obs(spark, d).groupBy("user_id", "time").agg(F.max("value").alias("value"))
-    return window.rate(o, "value", keys=["user_id"]).select("user_id", "time", F.round("rate", 9).alias("rate"))
+    return window.rate(o, "value", keys=["user_id"]).select("user_id", "time", rounded(F.col("rate"), 9).alias("rate"))
 
 
 @query(
