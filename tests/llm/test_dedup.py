@@ -6,6 +6,7 @@ import re
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from tidegrid.llm import exact, graph, similar, simhash, substring
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -312,3 +313,46 @@ def test_texts_less_alike_stay_apart(spark, tmp_path):
     spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
     got = similar.similar_dedup(spark.read.parquet(str(tmp_path / "d"))).collect()
     assert all(r["component_id"] == r["doc_id"] and r["kept"] for r in got) and len(got) == 120
+
+
+def test_signatures_are_deletion_variants(spark):
+    rng = np.random.default_rng(9)
+    width = similar.segment_width(300)
+    prints = rng.integers(0, 1 << width, (300, similar.SEGMENTS))
+    for i in range(150, 300):  # up to two bits of each segment changed
+        for s in range(similar.SEGMENTS):
+            for w in rng.choice(width, rng.integers(0, 3), replace=False).tolist():
+                prints[i, s] = prints[i - 150, s] ^ (1 << w)
+    texts = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(prints)], "id long, segments array<long>")
+    rows = similar.signatures(texts, width).collect()
+    assert len(rows) == 300 * similar.SEGMENTS * width
+    lists = collections.defaultdict(list)
+    for r in rows:
+        lists[r["key"]].append(r["id"])
+    got = {(max(a, b), min(a, b)) for ids in lists.values() for a in ids for b in ids if a != b}
+    apart = np.bitwise_count(prints[:, None, :] ^ prints[None, :, :]).min(axis=2)
+    assert got == {(i, j) for i in range(300) for j in range(i) if apart[i, j] <= 1} and len(got) > 100
+
+
+def test_the_near_stage_links_by_signatures_and_the_join_by_prefixes_adds_the_rest(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(60):
+        w = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        rows.append(" ".join(w))
+        for i in range(30, 400, 75):  # 5 words, so 25 of 396 shingles
+            w[i] = "changed"
+        rows.append(" ".join(w))
+    assert all(jaccard(a, b) > 0.85 for a, b in zip(rows[::2], rows[1::2], strict=True))
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    found, whole = [], graph.components
+    monkeypatch.setattr(similar, "components", lambda links: found.append(links.distinct().count()) or whole(links))
+    index = similar.signatures
+    for signed in (True, False):
+        monkeypatch.setattr(similar, "signatures", index if signed else lambda *a: index(*a).filter("false"))
+        found.clear()
+        kept = corpus_pipeline.near(spark, docs, "unused").collect()
+        assert sorted(r["doc_id"] for r in kept) == list(range(0, 120, 2))
+        assert found[0] >= 54 if signed else found[0] == 0  # by signatures alone at least 0.9
+        assert found[-1] == 60

@@ -1,16 +1,25 @@
-"""Near-dedup by similarity: an exact join of shingle sets by their prefixes.
+"""SimHash near-dedup by similarity: deletion-variant signatures of wider fingerprints, made whole by an exact join.
 
 simhash.near_dedup links 64-bit fingerprints at most two bits apart, which catches only copies that
 are all but whole. Here two texts are linked if the Jaccard similarity of their sets of five-word
-shingles is 0.8 or more. Shingles have one order for all texts; of two sets that alike, the first
-fifth of either and one (the prefix) have a shingle in common. So texts meet in the lists of their
-prefixes' shingles, and no pair is missed. Any order is right; the one in use has shingles that a
-sample of texts repeats last, so that common passages make few long lists. A pair that meets is a
-candidate unless its sizes, what follows the place in either order, or 256-bit sketches exclude a
-similarity of 0.8; every candidate is verified by the shingles of both texts before it links.
+shingles is 0.8 or more.
 
-Lists of more than `pivots` texts first compare each with that many, and verified links are
-contracted; then all members whose components differ are compared, in pairs of blocks of PART.
+First, by the method of simhash.py: a fingerprint of a text's two-word shingles (single edits change
+these less) is cut into SEGMENTS segments, each indexed under its one-wildcard variants, and equal
+variants are joined. Two texts meet if a segment differs by at most one bit: at 0.8 by scattered
+edits 85 in 100 are expected to, at 0.9 97. The distance of 256-bit sketches of the five-word
+shingles is verified, then the similarity itself by the shingles of both texts; links are contracted.
+
+Then what the signatures leave open, exactly: shingles have one order for all texts; of two sets that
+alike, the first fifth of either and one (the prefix) have a shingle in common. So texts meet in the
+lists of their prefixes' shingles, and no pair is missed; those of one component already are not
+compared again. Any order is right; the one in use has shingles that a sample of texts repeats last,
+so that common passages make few long lists. A pair that meets is a candidate unless its sizes, what
+follows the place in either order, or the sketches exclude a similarity of 0.8; every candidate is
+verified by the shingles of both texts before it links.
+
+Buckets and lists of more than `pivots` texts first compare each with that many, and verified links
+are contracted; then all members of lists whose components differ are compared, in pairs of blocks of PART.
 
 Defined results: null and empty texts and those without words have no shingles and are alike; a text
 of fewer than five words is one shingle; a component's id is its smallest doc_id that isn't null;
@@ -40,6 +49,10 @@ SIMILAR_SHINGLE = 5
 SIMILAR_BITS = 76
 #: Sets smaller than this have sketches too coarse to exclude anything.
 LEAST_SKETCHED = 32
+#: Signatures: segments of a fingerprint of two-word shingles, of WIDER bits more than the rows' number has.
+SIGNED_SHINGLE = 2
+SEGMENTS = 5
+WIDER = 6
 PIVOTS = 32
 PART = 4096
 #: Texts in the sample, and shingles it may call common; these set the order only.
@@ -76,15 +89,36 @@ def _sampled(shingle: int):
     return run
 
 
-def _sketches(shingle: int, common):
-    """Sketch, a 128-bit hash of the set, its size and its prefix in order."""
+def segment_width(rows: int) -> int:
+    """Bits of a segment, so that texts that aren't alike seldom share a variant."""
+    return min(32, max(16, rows.bit_length() + WIDER))
+
+
+def segments(text: bytes | None, width: int) -> np.ndarray:
+    """The fingerprint of a text in segments of `width` bits."""
+    bits = _bits(shingles(text, SIGNED_SHINGLE), -(-SEGMENTS * width // 64))[: SEGMENTS * width]
+    return (bits.reshape(SEGMENTS, width) * (1 << np.arange(width))).sum(axis=1)
+
+
+def signatures(texts: DataFrame, width: int) -> DataFrame:
+    """(id, key) of texts (id, segments): one key for each segment and bit of it left out."""
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each text becomes some 100 rows, so few texts are still dealt to many tasks (by a hash, or the plan drops this step)
+    index = texts.repartition(tasks, F.xxhash64("id")).select("id", F.posexplode("segments").alias("s", "value"))
+    index = index.select("id", "s", "value", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("w"))
+    return index.select("id", F.expr(f"shiftleft(CAST(s * {width} + w AS BIGINT), 32) | (value & ~shiftleft(1L, w))").alias("key"))
+
+
+def _sketches(shingle: int, width: int, common):
+    """Sketch, a 128-bit hash of the set, its size and its prefix in order, and the fingerprint's segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, times = common.value
         for batch in sliced(batches):
-            prints, same, sizes, prefixes = [], [], [], []
+            prints, same, sizes, prefixes, parts = [], [], [], [], []
             for t in batch.column(2).to_pylist():
                 g = shingles(t, shingle)
+                parts.append(segments(t, width))
                 prints.append(np.packbits(_bits(g, 4), bitorder="little").view(np.int64))
                 same.append(np.array([mixed(g + _LANES[i]).sum(dtype=np.uint64) for i in (4, 5)], np.uint64).view(np.int64))
                 sizes.append(len(g))
@@ -94,8 +128,8 @@ def _sketches(shingle: int, common):
                 prefixes.append(g[: len(g) - (4 * len(g) + 4) // 5 + 1].view(np.int64))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(prints, longs), pa.array(same, longs), pa.array(sizes, pa.int64()), pa.array(prefixes, longs)],
-                names=["row", "doc_id", "print", "same", "size", "prefix"],
+                [batch.column(0), batch.column(1), pa.array(prints, longs), pa.array(same, longs), pa.array(sizes, pa.int64()), pa.array(prefixes, longs), pa.array(parts, longs)],
+                names=["row", "doc_id", "print", "same", "size", "prefix", "segments"],
             )
 
     return run
@@ -212,7 +246,8 @@ def similar_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", r
     raw = F.col(text).cast("string").cast("binary")
     source = docs.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), raw.alias("text"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    every = max(1, source.count() // SAMPLE)
+    n = source.count()
+    every, width = max(1, n // SAMPLE), segment_width(n)
     sample = source.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("text").mapInArrow(_sampled(shingle), "g long")
     often = sample.groupBy("g").count().filter("count > 2").orderBy(F.desc("count"), "g").limit(COMMON).toArrow()  # COMMON rows at most
     g, times = often.column("g").to_numpy().view(np.uint64), often.column("count").to_numpy()
@@ -220,37 +255,45 @@ def similar_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", r
     common = spark.sparkContext.broadcast((g[order], times[order]))
 
     base = f"{spark.sparkContext.getCheckpointDir()}/near-{uuid.uuid4().hex}"
-    d = written(source.mapInArrow(_sketches(shingle, common), "row long, doc_id long, print array<long>, same array<long>, size long, prefix array<long>"), f"{base}/sketches")
+    d = written(source.mapInArrow(_sketches(shingle, width, common), "row long, doc_id long, print array<long>, same array<long>, size long, prefix array<long>, segments array<long>"), f"{base}/sketches")
     common.destroy()  # workers let go of it
     rows = d.select("row", "doc_id", "same").checkpoint()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row")))
     texts = d.groupBy("same").agg(F.min("row").alias("id"), first.alias("first")).checkpoint()
-    ones = d.join(texts.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("id"), "print", "size", "prefix")
-    index = ones.select("id", "prefix", F.posexplode("prefix").alias("place", "key")).select("id", "place", "key", F.coalesce(F.get("prefix", F.col("place") - 1), F.lit(0).cast("long")).alias("before"))
-    shared = index.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
-    shared = shared.withColumn("blocks", F.expr(f"(n - 1) div {part} + 1")).withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")))
-    shared = shared.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    shared = shared.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    met = shared.join(d.select(F.col("row").alias("id"), "print", "size"), "id")
-    met = written(met.select("key", "low", "high", "id", "size", F.col("place").cast("long").alias("place"), "print", "n", "before"), f"{base}/met")
+    ones = d.join(texts.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("id"), "size", "prefix", "segments")
+    facts = d.select(F.col("row").alias("id"), "print", "size")
 
-    def verified(met, whole):
+    def verified(met, whole, name):
         met = met.select("key", "low", "high", "id", "size", "place", "print", "root", "n", "before")
         met = met.repartition(tasks, "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
         pairs = met.mapInArrow(_candidates(most, pivots, whole), "u long, v long").distinct().checkpoint()
         nodes = pairs.select(F.col("u").alias("row")).union(pairs.select("v")).distinct()
-        t = written(source.select("row", "text").join(nodes, "row", "left_semi"), f"{base}/texts-{whole}")
+        t = written(source.select("row", "text").join(nodes, "row", "left_semi"), f"{base}/texts-{name}")
         both = pairs.join(t.select(F.col("row").alias("u"), "text"), "u").join(t.select(F.col("row").alias("v"), F.col("text").alias("text2")), "v")
         return both.select("u", "v", "text", "text2").mapInArrow(_verified(shingle), "u long, v long").checkpoint()
 
-    links = verified(met.withColumn("root", F.col("id")), False)
+    buckets = signatures(ones.filter("size > 0").select("id", "segments"), width).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
+    buckets = buckets.withColumn("low", F.pmod(F.xxhash64("id", "key"), F.expr(f"(n - 1) div {part} + 1"))).withColumn("high", F.col("low"))
+    none = F.lit(0).cast("long")
+    links = verified(buckets.join(facts, "id").withColumns({"root": F.col("id"), "place": none, "before": none}), False, "signed")
+    roots = components(links)
+
+    index = ones.select("id", "prefix", F.posexplode("prefix").alias("place", "key")).select("id", "place", "key", F.coalesce(F.get("prefix", F.col("place") - 1), F.lit(0).cast("long")).alias("before"))
+    shared = index.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
+    shared = shared.withColumn("blocks", F.expr(f"(n - 1) div {part} + 1")).withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")))
+    shared = shared.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    shared = shared.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    facts = facts.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    met = shared.join(facts, "id").select("key", "low", "high", "id", "size", F.col("place").cast("long").alias("place"), "print", "root", "n", "before")
+    met = written(met, f"{base}/met")
+    links = links.union(verified(met, False, "met"))
     roots = components(links)
-    crowded = met.filter(F.col("n") > pivots).join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    crowded = met.filter(F.col("n") > pivots).drop("root").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     # lists whose members are of one component already are done
     mixed_lists = crowded.groupBy("key", "low", "high").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key", "low", "high")
     crowded = written(crowded.join(mixed_lists, ["key", "low", "high"], "left_semi"), f"{base}/crowded")
     if not crowded.isEmpty():
-        roots = components(links.union(verified(crowded, True)))
+        roots = components(links.union(verified(crowded, True, "crowded")))
     remove(spark, base)
     texts = texts.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")).checkpoint()
     firsts = texts.groupBy("root").agg(F.min("first").alias("best")).checkpoint()
