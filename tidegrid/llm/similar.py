@@ -4,19 +4,18 @@ simhash.near_dedup links 64-bit fingerprints at most two bits apart, which catch
 are all but whole. Here two texts are linked if the Jaccard similarity of their sets of five-word
 shingles is 0.8 or more.
 
-First, by the method of simhash.py: a fingerprint of a text's two-word shingles (single edits change
-these less) is cut into SEGMENTS segments, each indexed under its one-wildcard variants, and equal
-variants are joined. Two texts meet if a segment differs by at most one bit: at 0.8 by scattered
-edits 85 in 100 are expected to, at 0.9 97. The distance of 256-bit sketches of the five-word
-shingles is verified, then the similarity itself by the shingles of both texts; links are contracted.
-
-Then what the signatures leave open, exactly: shingles have one order for all texts; of two sets that
-alike, the first fifth of either and one (the prefix) have a shingle in common. So texts meet in the
-lists of their prefixes' shingles, and no pair is missed; those of one component already are not
-compared again. Any order is right; the one in use has shingles that a sample of texts repeats last,
-so that common passages make few long lists. A pair that meets is a candidate unless its sizes, what
-follows the place in either order, or the sketches exclude a similarity of 0.8; every candidate is
-verified by the shingles of both texts before it links.
+By the method of simhash.py, a fingerprint of a text's two-word shingles (single edits change these
+less) is cut into SEGMENTS segments, each indexed under its one-wildcard variants, and equal variants
+are joined. Two texts meet if a segment differs by at most one bit: at 0.8 by scattered edits 85 in
+100 are expected to, at 0.9 97. The distance of 256-bit sketches of the five-word shingles is
+verified, then the similarity itself by the shingles of both texts.
+
+What signatures and their crowded buckets leave open is found exactly, and verified with the others.
+Shingles have one order for all texts; of two sets that alike, the first fifth of either and one (the
+prefix) have a shingle in common. So texts meet in the lists of their prefixes' shingles, and no pair
+is missed. Any order is right; the one in use has shingles that a sample of texts repeats last, so
+that common passages make few long lists. A pair that meets is a candidate unless its sizes, what
+follows the place in either order, or the sketches exclude a similarity of 0.8.
 
 Buckets and lists of more than `pivots` texts first compare each with that many, and verified links
 are contracted; then all members of lists whose components differ are compared, in pairs of blocks of PART.
@@ -101,12 +100,19 @@ def segments(text: bytes | None, width: int) -> np.ndarray:
 
 
 def signatures(texts: DataFrame, width: int) -> DataFrame:
-    """(id, key) of texts (id, segments): one key for each segment and bit of it left out."""
+    """(id, place, key, before) of texts (id, segments): a key for each segment and bit of it left out; place is -1."""
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # each text becomes some 100 rows, so few texts are still dealt to many tasks (by a hash, or the plan drops this step)
-    index = texts.repartition(tasks, F.xxhash64("id")).select("id", F.posexplode("segments").alias("s", "value"))
+    index = texts.select("id", "segments").repartition(tasks, F.xxhash64("id")).select("id", F.posexplode("segments").alias("s", "value"))
     index = index.select("id", "s", "value", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("w"))
-    return index.select("id", F.expr(f"shiftleft(CAST(s * {width} + w AS BIGINT), 32) | (value & ~shiftleft(1L, w))").alias("key"))
+    key = F.expr(f"shiftleft(CAST(s * {width} + w AS BIGINT), 32) | (value & ~shiftleft(1L, w))")
+    return index.select("id", F.lit(-1).cast("long").alias("place"), key.alias("key"), F.lit(0).cast("long").alias("before"))
+
+
+def prefixes(texts: DataFrame) -> DataFrame:
+    """(id, place, key, before) of texts (id, prefix): a key for each shingle of the prefix, its place and the shingle before."""
+    index = texts.select("id", "prefix", F.posexplode("prefix").alias("place", "key"))
+    return index.select("id", F.col("place").cast("long").alias("place"), "key", F.coalesce(F.get("prefix", F.col("place") - 1), F.lit(0).cast("long")).alias("before"))
 
 
 def _sketches(shingle: int, width: int, common):
@@ -150,7 +156,7 @@ def _candidates(most: int, pivots: int, whole: bool):
         n, m = sizes, sizes2.T
         shared = np.minimum(n - places, m - places2.T)  # at most, if this is the first in common
         out = (9 * shared >= 4 * (n + m)) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & (roots != roots2.T)
-        out &= (before != before2.T) | (places == 0) | (places2.T == 0)  # else they met in the list of the shingle before
+        out &= (before != before2.T) | (places <= 0) | (places2.T <= 0)  # else they met in the list of the shingle before
         i, j = np.nonzero(out)
         for at in range(0, len(i), _STEP):
             x, y = i[at : at + _STEP], j[at : at + _STEP]
@@ -261,39 +267,32 @@ def similar_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", r
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row")))
     texts = d.groupBy("same").agg(F.min("row").alias("id"), first.alias("first")).checkpoint()
     ones = d.join(texts.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("id"), "size", "prefix", "segments")
-    facts = d.select(F.col("row").alias("id"), "print", "size")
+    index = signatures(ones.filter("size > 0"), width).union(prefixes(ones))
+    shared = index.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
+    shared = shared.withColumn("blocks", F.expr(f"(n - 1) div {part} + 1")).withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")))
+    # of a crowded bucket of signatures no pairs of blocks: prefixes bring its texts together exactly
+    shared = shared.withColumn("other", F.explode(F.when(F.col("place") < 0, F.array("own")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    shared = shared.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    met = shared.join(d.select(F.col("row").alias("id"), "print", "size"), "id")
+    met = written(met.select("key", "low", "high", "id", "size", "place", "print", "n", "before"), f"{base}/met")
 
-    def verified(met, whole, name):
+    def verified(met, whole):
         met = met.select("key", "low", "high", "id", "size", "place", "print", "root", "n", "before")
         met = met.repartition(tasks, "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
         pairs = met.mapInArrow(_candidates(most, pivots, whole), "u long, v long").distinct().checkpoint()
         nodes = pairs.select(F.col("u").alias("row")).union(pairs.select("v")).distinct()
-        t = written(source.select("row", "text").join(nodes, "row", "left_semi"), f"{base}/texts-{name}")
+        t = written(source.select("row", "text").join(nodes, "row", "left_semi"), f"{base}/texts-{whole}")
         both = pairs.join(t.select(F.col("row").alias("u"), "text"), "u").join(t.select(F.col("row").alias("v"), F.col("text").alias("text2")), "v")
         return both.select("u", "v", "text", "text2").mapInArrow(_verified(shingle), "u long, v long").checkpoint()
 
-    buckets = signatures(ones.filter("size > 0").select("id", "segments"), width).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
-    buckets = buckets.withColumn("low", F.pmod(F.xxhash64("id", "key"), F.expr(f"(n - 1) div {part} + 1"))).withColumn("high", F.col("low"))
-    none = F.lit(0).cast("long")
-    links = verified(buckets.join(facts, "id").withColumns({"root": F.col("id"), "place": none, "before": none}), False, "signed")
-    roots = components(links)
-
-    index = ones.select("id", "prefix", F.posexplode("prefix").alias("place", "key")).select("id", "place", "key", F.coalesce(F.get("prefix", F.col("place") - 1), F.lit(0).cast("long")).alias("before"))
-    shared = index.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
-    shared = shared.withColumn("blocks", F.expr(f"(n - 1) div {part} + 1")).withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")))
-    shared = shared.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    shared = shared.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    facts = facts.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    met = shared.join(facts, "id").select("key", "low", "high", "id", "size", F.col("place").cast("long").alias("place"), "print", "root", "n", "before")
-    met = written(met, f"{base}/met")
-    links = links.union(verified(met, False, "met"))
+    links = verified(met.withColumn("root", F.col("id")), False)
     roots = components(links)
-    crowded = met.filter(F.col("n") > pivots).drop("root").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    crowded = met.filter((F.col("n") > pivots) & (F.col("place") >= 0)).join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     # lists whose members are of one component already are done
     mixed_lists = crowded.groupBy("key", "low", "high").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key", "low", "high")
     crowded = written(crowded.join(mixed_lists, ["key", "low", "high"], "left_semi"), f"{base}/crowded")
     if not crowded.isEmpty():
-        roots = components(links.union(verified(crowded, True, "crowded")))
+        roots = components(links.union(verified(crowded, True)))
     remove(spark, base)
     texts = texts.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")).checkpoint()
     firsts = texts.groupBy("root").agg(F.min("first").alias("best")).checkpoint()
