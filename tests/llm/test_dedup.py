@@ -359,3 +359,26 @@ def test_the_near_stage_links_by_signatures_and_prefixes_add_the_rest(spark, tmp
             assert found[-1] >= 54
         else:
             assert len(kept) == found[-1] == 60
+
+
+def test_no_bloom_filter_goes_with_the_tasks_of_crowded_lists(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    passage, rows = [f"p{i}" for i in range(40)], []
+    for i in range(40):
+        own = [f"own{i}x{j}" for j in range(8 if i % 2 else 20)]
+        rows += [" ".join(own + passage), " ".join([*own[:-1], "changed", *passage])]
+    rng.shuffle(rows)
+    want = classes(range(len(rows)), [(i, j) for i in range(len(rows)) for j in range(i) if 5 * jaccard(rows[i], rows[j]) >= 4 - 1e-9])
+    assert 20 <= len(set(want.values())) < len(rows)
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    plans, write = {}, similar.written
+    monkeypatch.setattr(similar, "written", lambda df, path: plans.update({path.rpartition("/")[2]: df._jdf.queryExecution().optimizedPlan().toString()}) or write(df, path))
+    joins = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no side of a join were small
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in similar.similar_dedup(docs, pivots=4).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
+    assert got == want
+    assert "crowded" in plans and not [k for k, p in plans.items() if "bloom_filter_agg" in p]

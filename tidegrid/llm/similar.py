@@ -286,15 +286,17 @@ def similar_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", r
         return both.select("u", "v", "text", "text2").mapInArrow(_verified(shingle), "u long, v long").checkpoint()
 
     links = verified(met.withColumn("root", F.col("id")), False)
-    roots = components(links)
+    # a table has a size; for a checkpoint, whose size is unknown, Spark puts Bloom filters of megabytes into the tasks' code
+    roots = written(components(links), f"{base}/roots")
     crowded = met.filter((F.col("n") > pivots) & (F.col("place") >= 0)).join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    # lists whose members are of one component already are done
-    mixed_lists = crowded.groupBy("key", "low", "high").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key", "low", "high")
-    crowded = written(crowded.join(mixed_lists, ["key", "low", "high"], "left_semi"), f"{base}/crowded")
+    # lists whose members are of one component already are done; a list has some 2 * PART members at most
+    members = Window.partitionBy("key", "low", "high")
+    crowded = crowded.withColumn("a", F.min("root").over(members)).withColumn("b", F.max("root").over(members)).filter("a <> b").drop("a", "b")
+    crowded = written(crowded, f"{base}/crowded")
     if not crowded.isEmpty():
         roots = components(links.union(verified(crowded, True)))
-    remove(spark, base)
     texts = texts.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")).checkpoint()
+    remove(spark, base)
     firsts = texts.groupBy("root").agg(F.min("first").alias("best")).checkpoint()
     where = texts.join(firsts, "root").select("same", "best").checkpoint()
     return rows.join(where, "same").select("row", "doc_id", F.col("best.doc_id").alias("component_id"), (F.col("row") == F.col("best.row")).alias("kept"))
