@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -189,6 +190,59 @@ def test_the_transducer_is_the_merges(pieces):
         assert small.count(s) == len(small.encoded(s))
 
 
+def test_a_workers_tables_are_bounded(pieces):
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        counter = transducer.compile_counter(f.read())
+    machine, rng = counter.units.machine, random.Random(9)
+    signs = "".join(rng.choices([chr(0x4E00 + i) for i in range(1000)], k=900_000))  # few states, but over half a million transitions
+    assert counter.count(signs.encode()) == len(pieces[1].encode(signs))
+    assert len(machine._states) + sum(map(len, machine.next)) <= 460_000
+    numbers = " ".join(map(str, range(250_000)))
+    for part in (numbers[: len(numbers) // 2], numbers[len(numbers) // 2 :]):  # as texts of one chunk
+        assert counter.count(part.encode()) == len(pieces[1].encode(part))
+    assert len(counter.units) <= 200_000
+
+
+def test_tables_may_be_dropped_anywhere_in_a_text(pieces, monkeypatch):
+    rng = random.Random(10)
+    texts = ["".join(rng.choice("abcdeinorstü .中") for _ in range(rng.randrange(1, 60))) for _ in range(200)]
+    want = [len(pieces[1].encode(t)) for t in texts]
+    monkeypatch.setattr(transducer, "_MOST_UNITS", 5)
+    for most in (3, 10, 40):
+        monkeypatch.setattr(transducer, "_MOST_STEPS", most)
+        machine = transducer.CountingTransducer(pieces[0].units.machine.scores)
+        for size in (4, 1 << 20):
+            counter = transducer.TokenCounter(machine, size)
+            assert [counter.count(t.encode()) for t in texts] == want
+            assert len(counter.units) <= 5
+        assert len(machine._states) + sum(map(len, machine.next)) <= most + 2  # a run's first state is made in any case
+
+
+def test_pairs_that_follow_are_those_that_encode_to_themselves(pieces):
+    rng = random.Random(11)
+    for _ in range(60):  # equal scores, parts below their wholes, tokens that are never made, characters that are none
+        words = {"".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(3, 25))}
+        machine = transducer.CountingTransducer({w: -rng.randrange(1, 8) for w in words})
+        for last in [None, *words, *"abc"]:
+            for token in {*words, *"abc"}:
+                assert machine._may_follow(last, token) == (machine.encoded((last or "") + token) == ([last] if last else []) + [token])
+    machine = pieces[0].units.machine
+    tokens = list(machine.scores)
+    for _ in range(20_000):
+        last, token = rng.choice(tokens), rng.choice(tokens)
+        assert machine._may_follow(last, token) == (machine.encoded(last + token) == [last, token])
+
+
+def test_a_worker_holds_the_texts_of_few_rows():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    with open(path, "rb") as f:
+        run = transducer._counts(path, f.read(), 4)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array([b"a b c d e", None] * 1000, pa.binary())], names=["doc_id", "text"])
+    out = list(run(iter([batch])))
+    assert max(b.num_rows for b in out) <= 512
+    assert pa.Table.from_batches(out).column("doc_id").to_pylist() == list(range(2000))
+
+
 def test_only_known_models_are_compiled():
     with pytest.raises(Exception):  # noqa: B017, PT011 - not a model
         transducer.compile_counter(b"junk")

@@ -5,7 +5,9 @@ another if and only if the two alone encode to themselves. So a text can be read
 the state is the longest suffix that some token could still extend past, with the last token and the
 relative token count at each position in it; a character leads to the next state and emits the
 change of the token count. That is a deterministic transducer. It is compiled lazily: a state or
-transition is made when it is first met, and all are dropped beyond a bound.
+transition is made when it is first met, and all are dropped at a bound of both together, also within
+a text. Whether two tokens encode to themselves is told from the merges that make each of them: those
+go on side by side, unless one across the joint is better. They are kept for each token of the vocabulary.
 
 Where two neighbouring characters stand together in no token, no token crosses: the state returns to
 the start whatever came before. So the map that a chunk of text makes of states has a short form, valid
@@ -16,7 +18,7 @@ in any order and on any executor, and composed in rounds, neighbours first. A ma
 content, not by number, as each worker compiles its own part of the transducer. A chunk without such a
 place (a megabyte of one letter) is read when its neighbour's state is known.
 
-Spaces begin units that no token crosses; the counts of short whole units are remembered.
+Spaces begin units that no token crosses; the counts of short whole units are remembered, up to a bound.
 
 Scope: SentencePiece byte-pair models with byte fallback, without text normalisation or user-defined
 symbols, as `compile_counter` checks; others are refused.
@@ -28,6 +30,7 @@ empty table gives no rows; texts of any length are read whole. Other columns are
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -35,13 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import OWN, prepare, read, with_row_id
+from tidegrid.llm.common import OWN, prepare, read, sliced, with_row_id
 
 LIMIT = 4096
 SPACE = "▁"
 CHUNK_BYTES = 1 << 20
-_MOST_STATES = 200_000
-_MOST_UNITS = 600_000
+#: States and transitions, and units, that a worker remembers at most; each about 100 to 200 bytes.
+_MOST_STEPS = 450_000
+_MOST_UNITS = 200_000
 _SHORT = 64
 
 
@@ -53,12 +57,16 @@ class CountingTransducer:
     def __init__(self, scores: dict[str, float]):
         """scores: of the tokens; of two neighbours the pair that makes the token of the highest score merges first."""
         self.scores = scores
-        self.heads = {t[:i] for t in scores for i in range(1, len(t))}
+        self.heads = {h: h for t in scores for h in (t[:i] for i in range(1, len(t)))}
+        self._tokens = {t: t for t in scores}  # states share these strings and counts, not copies
+        self._relative: dict[tuple, tuple] = {}
+        self._merges: dict[str, tuple | None] = {}
         self.pairs = {t[i : i + 2] for t in scores for i in range(len(t) - 1)}
-        self._fits: dict[tuple[str, str], bool] = {}
         self._clear()
 
     def _clear(self) -> None:
+        self.size = 0  # states and transitions
+        self._relative.clear()
         self._numbers: dict[tuple, int] = {}
         self._states: list[tuple] = []
         self.next: list[dict[str, tuple[int, int]]] = []
@@ -69,26 +77,56 @@ class CountingTransducer:
             n = self._numbers[state] = len(self._states)
             self._states.append(state)
             self.next.append({})
+            self.size += 1
         return n
 
     def encoded(self, text: str) -> list[str]:
-        """Byte-pair encoding by repeated merging; only used on pairs of tokens, to compile."""
-        parts = list(text)
+        """Byte-pair encoding by repeated merging; only used on tokens, to compile."""
+        return self._merged(text)[0]
+
+    def _merged(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """What a text encodes to, and of each merge on the way the score, the first part and the last part before it."""
+        parts, steps = list(text), []
         while True:
             best = max(((self.scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.scores), default=None)
             if best is None:
-                return parts
+                return parts, steps
+            steps.append((best[0], parts[0], parts[-1]))
             i = -best[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
+    def _ends(self, token: str) -> tuple | None:
+        """Scores of the merges that make a token, and its first and last parts between them; None if it encodes to something else."""
+        if len(token) == 1:
+            return (-math.inf,), (token,), (token,)
+        if token not in self._merges:  # of tokens only: no more than the vocabulary
+            parts, steps = self._merged(token)
+            name = self._tokens[token]
+            told = [(x, self._tokens.get(a, a), self._tokens.get(b, b)) for x, a, b in steps] + [(-math.inf, name, name)]
+            self._merges[name] = tuple(zip(*told, strict=True)) if len(parts) == 1 else None
+        return self._merges[token]
+
     def _may_follow(self, last: str | None, token: str) -> bool:
-        key = (last or "", token)
-        ok = self._fits.get(key)
-        if ok is None:
-            if len(self._fits) > 400_000:
-                self._fits.clear()
-            ok = self._fits[key] = self.encoded(key[0] + token) == ([last, token] if last else [token])
-        return ok
+        """Do the two alone encode to themselves? Their own merges go on, best first, unless one across the joint is better."""
+        after = self._ends(token)
+        if after is None or not last:
+            return after is not None
+        before = self._ends(last)
+        if before is None:
+            return False
+        (x, _, ends), (y, starts, _), scores = before, after, self.scores
+        i = j = 0
+        while True:
+            across = scores.get(ends[i] + starts[j])
+            if across is None:
+                if x[i] == y[j] == -math.inf:
+                    return True
+            elif across > x[i] and across >= y[j]:  # of equal ones the first in the text goes first
+                return False
+            if x[i] >= y[j]:
+                i += 1
+            else:
+                j += 1
 
     def _weight(self, token: str) -> int:
         return 1 if token in self.scores else len(token.encode())
@@ -98,37 +136,39 @@ class CountingTransducer:
         if lasts[-1] is not None and lasts[-1][-1] + char not in self.pairs:
             tail, lasts, counts = "", (None,), (0,)  # no token crosses this place
         tail += char
-        for i in range(len(tail)):
-            token = tail[i:]
-            if lasts[i] == "":
+        n, token, emitted, live = len(tail), None, 0, []
+        for i, last in enumerate(lasts):
+            if last == "":
                 continue
-            if (len(token) == 1 or token in self.scores) and self._may_follow(lasts[i], token):
-                break
-        else:  # pragma: no cover - a single character may follow unless a longer token does
+            part = tail[i:]
+            if token is None and (part in self.scores or i == n - 1) and self._may_follow(last, part):
+                token, emitted = self._tokens.get(part, part), counts[i] + self._weight(part)
+            if part in self.heads:
+                live.append(i)
+        if token is None:  # pragma: no cover - a single character may follow unless a longer token does
             raise AssertionError(f"no token ends {tail!r}")
-        emitted = counts[i] + self._weight(token)
-        lasts += (token,)
+        if not live:
+            return self._number(("", (token,), (0,))), emitted
         # only places that a token could still extend from matter later, and the end
-        live = [i for i in range(len(tail)) if tail[i:] in self.heads]
-        cut = live[0] if live else len(tail)
-        keep = {*live, len(tail)}
-        counts = (*counts, emitted)
-        out = (
-            tail[cut:],
-            tuple(lasts[i] if i in keep else "" for i in range(cut, len(tail) + 1)),
-            tuple(counts[i] - emitted if i in keep else 0 for i in range(cut, len(tail) + 1)),
-        )
-        return self._number(out), emitted
+        cut = live[0]
+        ends, relative = [""] * (n - cut), [0] * (n - cut + 1)
+        for i in live:
+            ends[i - cut], relative[i - cut] = lasts[i], counts[i] - emitted
+        told = tuple(relative)
+        return self._number((self.heads[tail[cut:]], (*ends, token), self._relative.setdefault(told, told))), emitted
 
     def run(self, state: tuple, text: str) -> tuple[tuple, int]:
         """The state, by content, that a text leads to, and the change of the token count on the way."""
-        if len(self._states) > _MOST_STATES:
-            self._clear()
         at, total, after = self._number(state), 0, self.next
         for char in text:
             step = after[at].get(char)
             if step is None:
+                if self.size + 2 > _MOST_STEPS:  # also within a long text
+                    state = self._states[at]
+                    self._clear()
+                    at, after = self._number(state), self.next
                 step = after[at][char] = self._step(at, char)
+                self.size += 1
             at = step[0]
             total += step[1]
         return self._states[at], total
@@ -148,6 +188,8 @@ class _Units(dict):
     def __missing__(self, unit: bytes) -> int:
         n = self.machine.count(SPACE + unit.decode("utf-8", "replace").replace(" ", SPACE))
         if len(unit) <= _SHORT:
+            if len(self) >= _MOST_UNITS:
+                self.clear()
             self[unit] = n
         return n
 
@@ -211,8 +253,6 @@ class TokenCounter:
     def count(self, text: bytes) -> int:
         if not text:
             return 0
-        if len(self.units) > _MOST_UNITS:
-            self.units.clear()
         if self.mark in text:
             text = text.replace(self.mark, b" ")  # both are the same symbol
         if len(text) <= self.chunk_bytes:
@@ -260,7 +300,7 @@ _OUT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 def _counts(name: str, model: bytes, limit: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(name, model)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t or b"" for t in batch.column(1).to_pylist()]
             n = [counter.count(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
